@@ -36,16 +36,23 @@ def missing(df: DataFrame, name: str) -> Column:
 def utc_without_zone(df: DataFrame, name: str = "event_time") -> DataFrame:
     """Turn a zoned timestamp column into a zone-less one holding UTC.
 
-    A plain cast would give the wall clock of the session zone instead.
+    Counting from the epoch keeps the session zone out of it; a cast would go by
+    its wall clock, which is ambiguous for an hour each year in many zones.
     """
     if not isinstance(df.schema[name].dataType, T.TimestampType):
         return df
-    local = F.col(name).cast(T.TimestampNTZType())
-    return df.withColumn(name, F.convert_timezone(None, F.lit("UTC"), local))
+    epoch = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+    return df.withColumn(name, F.timestamp_add("MICROSECOND", F.unix_micros(name), epoch))
 
 
 def micros_between(start: str, end: str) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
+    """Microseconds from one zone-less time to another.
+
+    By way of an interval: timestamp_diff would read both in the session zone,
+    where some wall clock times do not exist.
+    """
+    seconds = (F.col(end) - F.col(start)).cast("interval second").cast("decimal(18, 6)")
+    return (seconds * F.lit(1_000_000)).cast("long")
 
 
 def micros_to_minutes(micros: Column) -> Column:

@@ -11,7 +11,7 @@ from aislewise.operators.quality import (
     schema_report,
     verify_input,
 )
-from aislewise.operators.ranking import product_rank
+from aislewise.operators.ranking import product_rank, product_sales, rank_products
 from aislewise.operators.reports import (
     funnel_by_rate,
     funnel_steps,
@@ -39,7 +39,9 @@ __all__ = [
     "merge_session_partials",
     "null_counts",
     "product_rank",
+    "product_sales",
     "quality_report",
+    "rank_products",
     "require_rows",
     "revenue_by_category",
     "schema_report",

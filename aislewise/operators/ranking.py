@@ -13,10 +13,29 @@ from aislewise.operators.sales import purchases
 BLOCK_BITS = 20
 
 
+def product_sales(events: DataFrame) -> DataFrame:
+    """Revenue, to the cent, and number of purchases per product."""
+    return (
+        purchases(events)
+        .groupBy(top_category().alias("top_category"), "product_id")
+        .agg(
+            F.round(F.sum("price"), 2).alias("total_revenue"),
+            F.count("*").alias("num_purchases"),
+        )
+    )
+
+
 def product_rank(
     events: DataFrame, measure: str = "total_revenue", top_n: int | None = None
 ) -> DataFrame:
-    """SQL RANK of products within each top category by purchases, best first.
+    """SQL RANK of products within each top category by purchases, best first."""
+    return rank_products(product_sales(events), measure, top_n)
+
+
+def rank_products(
+    sales: DataFrame, measure: str = "total_revenue", top_n: int | None = None
+) -> DataFrame:
+    """The rank for a table of product_sales, which is best a stored one.
 
     `measure` is total_revenue or num_purchases. Revenue is compared in whole
     cents, so that products with equal sales share a rank.
@@ -27,21 +46,13 @@ def product_rank(
     sees distinct scores only, so neither a large category nor many products with
     one score end up in a single task.
     """
-    sold = (
-        purchases(events)
-        .groupBy(top_category().alias("top_category"), "product_id")
-        .agg(
-            F.round(F.sum("price"), 2).alias("total_revenue"),
-            F.count("*").alias("num_purchases"),
-        )
-    )
     if measure == "total_revenue":
         score = F.round(F.col("total_revenue") * 100).cast("long")
     elif measure == "num_purchases":
         score = F.col("num_purchases")
     else:
         raise ValueError(f"unknown measure {measure}")
-    scored = sold.withColumn("_score", score)
+    scored = sales.withColumn("_score", score)
 
     scores = (
         scored.groupBy("top_category", F.shiftright("_score", BLOCK_BITS).alias("_block"), "_score")

@@ -1,7 +1,7 @@
 """Jobs composed of sources, operators and sinks."""
 
-from aislewise.plans.analysis import RESULTS, analyse
+from aislewise.plans.analysis import analyse
 from aislewise.plans.end_to_end import run
 from aislewise.plans.ingest import IngestOutcome, ingest
 
-__all__ = ["RESULTS", "IngestOutcome", "analyse", "ingest", "run"]
+__all__ = ["IngestOutcome", "analyse", "ingest", "run"]

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from aislewise.operators import (
     conversion_funnel,
     hourly_activity,
-    product_rank,
+    product_sales,
+    rank_products,
     require_rows,
     revenue_by_category,
     session_sample,
@@ -20,21 +21,24 @@ from aislewise.operators import (
 from aislewise.sinks import write_result
 from aislewise.sources import load_events
 
+Build = Callable[[DataFrame], DataFrame]
+
 # Results computed from the events, one job each. Every job scans the stored
 # events again: the scan is cut down to its columns and event types, which is
 # cheaper than keeping all of them cached.
-RESULTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+FROM_EVENTS: dict[str, Build] = {
     "revenue_by_category": revenue_by_category,
     "conversion_funnel": conversion_funnel,
     "hourly_activity": hourly_activity,
     "session_stats": session_stats,
     "top_brands": top_brands,
-    "product_rank": product_rank,
+    "product_sales": product_sales,
 }
-# Results computed from the stored sessions.
-SESSION_RESULTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "session_summary": session_summary,
-    "session_sample": session_sample,
+# Results computed from another result, which they read more than once.
+FROM_RESULT: dict[str, tuple[str, Build]] = {
+    "product_rank": ("product_sales", rank_products),
+    "session_summary": ("session_stats", session_summary),
+    "session_sample": ("session_stats", session_sample),
 }
 
 
@@ -42,10 +46,9 @@ def analyse(spark: SparkSession, validated: str, output: str) -> dict[str, str]:
     """Write every result below output and return the paths by name."""
     events = load_events(spark, validated)
     require_rows(events)
-    paths = {name: f"{output}/{name}" for name in (*RESULTS, *SESSION_RESULTS)}
-    for name, build in RESULTS.items():
+    paths = {name: f"{output}/{name}" for name in (*FROM_EVENTS, *FROM_RESULT)}
+    for name, build in FROM_EVENTS.items():
         write_result(build(events), paths[name])
-    sessions = spark.read.parquet(paths["session_stats"])
-    for name, build in SESSION_RESULTS.items():
-        write_result(build(sessions), paths[name])
+    for name, (source, build) in FROM_RESULT.items():
+        write_result(build(spark.read.parquet(paths[source])), paths[name])
     return paths

@@ -38,8 +38,10 @@ MULTIPLIERS = {
     "user_id": 62_089_911,
     "user_session": 1_343_714_438,
 }
-# Ids beyond the modulus are shifted on each wrap, so that they do not repeat.
+# Ids beyond the modulus are shifted on each wrap, so that they do not repeat, and
+# seeds start far from one another.
 WRAP_SHIFT = 7_919
+SEED_SHIFT = 1_000_003
 # MODULUS times this stays just below 10**18, the width of the category id range.
 CATEGORY_STEP = 465_661_287
 
@@ -49,7 +51,7 @@ BYTES_PER_LINE = 134
 
 def _seed(number: Column, seed: int) -> Column:
     wraps = (number - F.pmod(number, F.lit(MODULUS))) / F.lit(MODULUS)
-    shift = wraps.cast("long") * WRAP_SHIFT + seed + 1
+    shift = wraps.cast("long") * WRAP_SHIFT + (seed * SEED_SHIFT + 1)
     return F.pmod(F.pmod(number, F.lit(MODULUS)) + shift, F.lit(MODULUS))
 
 

@@ -292,6 +292,7 @@ SQL: dict[str, str] = {
     UNION ALL SELECT 'hourly_activity', count(*) FROM hourly
     UNION ALL SELECT 'session_stats', count(*) FROM sessions
     UNION ALL SELECT 'top_brands', count(*) FROM brands
+    UNION ALL SELECT 'product_sales', count(*) FROM products
     UNION ALL SELECT 'product_rank', count(*) FROM products
     UNION ALL SELECT 'session_summary', 1
     UNION ALL SELECT 'session_sample', least(count(*), 500000) FROM sessions

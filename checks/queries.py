@@ -154,7 +154,8 @@ def product_rank_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_rank_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.product_rank(events(spark, sf_dir), measure="num_purchases")
+    sales = stage(op.product_sales(events(spark, sf_dir)), "sales")
+    return op.rank_products(sales, measure="num_purchases")
 
 
 def conversion_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
