@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from aislewise.plans import run
-from aislewise.session import build_session
+from aislewise.session import build_session, size_shuffles
 from aislewise.sinks import preview
 
 
@@ -23,6 +23,7 @@ def main() -> None:
 
     spark = build_session(master=args.master)
     try:
+        size_shuffles(spark, args.inputs)
         paths = run(spark, args.inputs, args.output, args.pattern, args.sample, args.compact)
         previews = {
             "revenue_by_category": [F.desc("total_revenue"), F.col("top_category")],

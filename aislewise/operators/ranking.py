@@ -35,16 +35,14 @@ def product_rank(
 def rank_products(
     sales: DataFrame, measure: str = "total_revenue", top_n: int | None = None
 ) -> DataFrame:
-    """The rank for a table of product_sales, which is best a stored one.
+    """The rank for a table of product_sales, read more than once: best a stored one.
 
     `measure` is total_revenue or num_purchases. Revenue is compared in whole
-    cents, so that products with equal sales share a rank.
+    cents, so that products with equal sales share a rank. With `top_n` only the
+    products up to that rank are kept, all of those that share it included.
 
-    A plain RANK window sorts all products of a category in one task. Here the
-    rank is one plus the number of products ahead, counted in two steps: products
-    in better blocks of scores, then better scores inside the block. Either step
-    sees distinct scores only, so neither a large category nor many products with
-    one score end up in a single task.
+    A plain RANK window would sort all products of a category in one task. Here
+    ranks are worked out per distinct score and joined to the products.
     """
     if measure == "total_revenue":
         score = F.round(F.col("total_revenue") * 100).cast("long")
@@ -53,11 +51,21 @@ def rank_products(
     else:
         raise ValueError(f"unknown measure {measure}")
     scored = sales.withColumn("_score", score)
-
-    scores = (
-        scored.groupBy("top_category", F.shiftright("_score", BLOCK_BITS).alias("_block"), "_score")
-        .agg(F.count("*").alias("_products"))
+    ranks = _all_ranks(scored) if top_n is None else _first_ranks(scored, top_n)
+    return scored.join(ranks, ["top_category", "_score"]).select(
+        "top_category", "product_id", "total_revenue", "num_purchases", "rank"
     )
+
+
+def _all_ranks(scored: DataFrame) -> DataFrame:
+    """Rank of each score: one plus the number of products ahead.
+
+    These are the products in better blocks of scores and those with a better
+    score in the same block. A window sees the blocks of a category or the
+    distinct scores of a block, not the products.
+    """
+    block = F.shiftright("_score", BLOCK_BITS).alias("_block")
+    scores = scored.groupBy("top_category", block, "_score").agg(F.count("*").alias("_products"))
     blocks = scores.groupBy("top_category", "_block").agg(F.sum("_products").alias("_products"))
 
     def ahead(window: WindowSpec) -> Column:
@@ -67,17 +75,24 @@ def rank_products(
     by_block = Window.partitionBy("top_category").orderBy(F.desc("_block"))
     in_block = Window.partitionBy("top_category", "_block").orderBy(F.desc("_score"))
     offsets = blocks.select("top_category", "_block", ahead(by_block).alias("_offset"))
-    ranks = (
+    return (
         scores.withColumn("_ahead", ahead(in_block))
         .join(offsets, ["top_category", "_block"])
-        .select(
-            "top_category",
-            "_score",
-            (F.col("_offset") + F.col("_ahead") + 1).alias("rank"),
-        )
+        .select("top_category", "_score", (F.col("_offset") + F.col("_ahead") + 1).alias("rank"))
     )
-    if top_n is not None:
-        ranks = ranks.filter(F.col("rank") <= top_n)
-    return scored.join(ranks, ["top_category", "_score"]).select(
-        "top_category", "product_id", "total_revenue", "num_purchases", "rank"
+
+
+def _first_ranks(scored: DataFrame, top_n: int) -> DataFrame:
+    """The scores that rank up to top_n.
+
+    Any top_n products with the best scores hold all of these scores, at their
+    right places, so every task passes on no more than top_n rows per category
+    even where many more products share a score.
+    """
+    best = Window.partitionBy("top_category").orderBy(F.desc("_score"))
+    return (
+        scored.select("top_category", "_score", F.row_number().over(best).alias("_place"))
+        .filter(F.col("_place") <= top_n)
+        .groupBy("top_category", "_score")
+        .agg(F.min("_place").cast("long").alias("rank"))
     )

@@ -1,8 +1,11 @@
-"""Session settings the jobs rely on."""
+"""Session settings and the size of shuffles."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from aislewise.schema import BLOCK_BYTES
 
@@ -18,15 +21,41 @@ SETTINGS = {
 }
 
 
+# Input bytes per shuffle partition; adaptive execution merges those that turn out small.
+BYTES_PER_PARTITION = 2 * BLOCK_BYTES
+PARTITION_RANGE = (200, 100_000)
+
+
 def build_session(
     app_name: str = "aislewise",
     master: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session with SETTINGS; `extra` wins, and spark-submit supplies the master."""
+    """A session with `extra` and those SETTINGS that spark-submit does not set."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(extra or {})}.items():
+    for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in SETTINGS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
+
+
+def size_shuffles(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Fit the number of shuffle partitions to the input unless it was given.
+
+    An aggregation by session can shuffle a good part of the input, and adaptive
+    execution merges partitions of an aggregation but never cuts one.
+    """
+    key = "spark.sql.shuffle.partitions"
+    if spark.sparkContext.getConf().contains(key):
+        return
+    # The content column is not selected, so only the file listing is read.
+    files = spark.read.format("binaryFile").load(list(paths))
+    total = files.agg(F.sum("length").alias("total")).first().total or 0
+    low, high = PARTITION_RANGE
+    spark.conf.set(key, min(max(total // BYTES_PER_PARTITION, low), high))

@@ -22,14 +22,17 @@ USER_IDS = (100_000_000, 999_999_999)
 FIRST_CATEGORY_ID = 2_000_000_000_000_000_000
 DAYS = 30
 
-# A draw is seed * multiplier modulo a prime. Both factors are below 2**31, so the
-# product fits a long. The multipliers are published generators for this modulus
-# (Park and Miller; Fishman and Moore).
+# A draw is seed * multiplier modulo a prime, with the high bits folded onto the
+# low ones. Both factors are below 2**31, so the product fits a long. The
+# multipliers are published generators for this modulus (Park and Miller; Fishman
+# and Moore).
 MODULUS = 2_147_483_647
+FOLD_BITS = 15
 MULTIPLIERS = {
+    "seed": 16_807,
     "event_time": 48_271,
     "event_type": 69_621,
-    "product_id": 16_807,
+    "product_id": 1_385_320_287,
     "category_high": 39_373,
     "category_low": 630_360_016,
     "category_code": 742_938_285,
@@ -42,7 +45,7 @@ MULTIPLIERS = {
 # seeds start far from one another.
 WRAP_SHIFT = 7_919
 SEED_SHIFT = 1_000_003
-# MODULUS times this stays just below 10**18, the width of the category id range.
+# 2**31 times this stays just below 10**18, the width of the category id range.
 CATEGORY_STEP = 465_661_287
 
 START = "2019-10-01 00:00:00"
@@ -55,8 +58,9 @@ def _seed(number: Column, seed: int) -> Column:
     return F.pmod(F.pmod(number, F.lit(MODULUS)) + shift, F.lit(MODULUS))
 
 
-def _draw(name: str, seed: str = "_seed") -> Column:
-    return F.pmod(F.col(seed) * F.lit(MULTIPLIERS[name]), F.lit(MODULUS))
+def _draw(name: str, seed: str = "_state") -> Column:
+    product = F.pmod(F.col(seed) * F.lit(MULTIPLIERS[name]), F.lit(MODULUS))
+    return product.bitwiseXOR(F.shiftright(product, FOLD_BITS))
 
 
 def _between(name: str, bounds: tuple[int, int]) -> Column:
@@ -86,6 +90,11 @@ def generate_events(
             F.col("_session"),
             _seed(F.col("_session"), seed).alias("_session_seed"),
         )
+        .select(
+            "_session",
+            _draw("seed", "_seed").alias("_state"),
+            _draw("seed", "_session_seed").alias("_session_state"),
+        )
         .select(
             F.timestamp_add("SECOND", seconds, F.lit(START).cast("timestamp_ntz")).alias(
                 "event_time"
@@ -101,7 +110,7 @@ def generate_events(
             _one_of("brand", BRANDS).alias("brand"),
             (_between("price", PRICE_CENTS) / F.lit(100.0)).alias("price"),
             _between("user_id", USER_IDS).alias("user_id"),
-            F.concat_ws("-", "_session", _draw("user_session", "_session_seed")).alias(
+            F.concat_ws("-", "_session", _draw("user_session", "_session_state")).alias(
                 "user_session"
             ),
         )

@@ -129,8 +129,9 @@ def _rank(order: str) -> str:
     """
 
 
-def _draw(name: str, seed: str = "seed") -> str:
-    return f"({seed} * {synthetic.MULTIPLIERS[name]} % {synthetic.MODULUS})"
+def _draw(name: str, seed: str = "state") -> str:
+    product = f"({seed} * {synthetic.MULTIPLIERS[name]} % {synthetic.MODULUS})"
+    return f"xor({product}, {product} >> {synthetic.FOLD_BITS})"
 
 
 def _between(name: str, bounds: tuple[int, int]) -> str:
@@ -153,6 +154,10 @@ def _generated() -> str:
       SELECT {seed('event_id')} AS seed, event_id // 5 AS session,
              {seed('(event_id // 5)')} AS session_seed
       FROM events
+    ), mixed AS (
+      SELECT session, {_draw('seed', 'seed')} AS state,
+             {_draw('seed', 'session_seed')} AS session_state
+      FROM seeded
     )
     SELECT TIMESTAMP '{synthetic.START}'
              + to_seconds({_draw('event_time')} % {synthetic.DAYS * 86_400}) AS event_time,
@@ -164,8 +169,8 @@ def _generated() -> str:
            {_one_of('brand', synthetic.BRANDS)} AS brand,
            ({_between('price', synthetic.PRICE_CENTS)}) / 100.0 AS price,
            {_between('user_id', synthetic.USER_IDS)} AS user_id,
-           session || '-' || {_draw('user_session', 'session_seed')} AS user_session
-    FROM seeded
+           session || '-' || {_draw('user_session', 'session_state')} AS user_session
+    FROM mixed
     """
 
 

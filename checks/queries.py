@@ -21,7 +21,14 @@ from aislewise.sources import (
     scan_rejects,
 )
 from aislewise.workspace import scratch_path, stage
-from checks.tables import csv_copy, damaged_lines, events, raw_events, write_lines
+from checks.tables import (
+    csv_copy,
+    damaged_lines,
+    event_table,
+    events,
+    raw_events,
+    write_lines,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,8 +76,7 @@ def validated_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synthetic_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
-    return generate_events(ids, "event_id", events_per_session=5)
+    return generate_events(event_table(spark, sf_dir), "event_id", events_per_session=5)
 
 
 # Validation and cleaning

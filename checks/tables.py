@@ -11,6 +11,17 @@ from aislewise.sinks import csv_sink, write_events_csv
 from aislewise.workspace import scratch_path
 
 
+# Declared, so that opening a table does not cost a job that reads its footer.
+EVENTS = (
+    "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+)
+PART = "p_partkey long, p_name string, p_brand string, p_type string"
+
+
+def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
 def _every(n: int) -> Column:
     return F.pmod("event_id", F.lit(n)) == 0
 
@@ -22,12 +33,11 @@ def raw_events_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     the size check of the optimizer: small enough it is broadcast, otherwise the
     adaptive skew join splits the large keys.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
+    events = event_table(spark, sf_dir).withColumn(
         "k", F.get_json_object("props", "$.k").cast("long")
     )
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(
-        F.col("p_partkey").alias("k"), "p_name", "p_brand", "p_type"
-    )
+    parts = spark.read.schema(PART).parquet(f"{sf_dir}/part.parquet")
+    parts = parts.withColumnRenamed("p_partkey", "k")
     return events.join(parts, "k").select(
         "event_id",
         F.col("ts").alias("event_time"),

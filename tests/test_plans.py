@@ -9,8 +9,9 @@ from aislewise import operators as op
 from aislewise.plans import ingest, run
 from aislewise.plans.ingest import MARKER, record_mode
 from aislewise.schema import RAW
+from aislewise.session import size_shuffles
 from aislewise.sinks import preview, write_events_csv, write_validated
-from aislewise.sources import load_events
+from aislewise.sources import generate_events, load_events
 from aislewise.workspace import scratch_path
 from checks.queries import QUERIES
 from checks.tables import csv_copy, events, raw_events
@@ -85,6 +86,32 @@ def test_write_appends_or_overwrites(spark):
     assert load_events(spark, path).count() == rows
 
 
+def test_compact_write_cuts_a_large_event_type(spark):
+    path = scratch_path(spark, "validated")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "16k")
+    try:
+        many = generate_events(spark.range(50_000, numPartitions=16))
+        write_validated(many, path, compact=True)
+    finally:
+        spark.conf.unset(key)
+    files = load_events(spark, path).inputFiles()
+    assert sum("event_type=view" in name for name in files) > 1
+    assert load_events(spark, path).count() == many.count()
+
+
+def test_first_ranks_limit_rows_before_the_shuffle(stored):
+    plan = plan_of(op.product_rank(stored, top_n=5))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_shuffles_fit_the_input(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    size_shuffles(spark, [SF_DIR])
+    assert spark.conf.get(key) == before
+
+
 def test_foreign_int96_times(spark):
     path = scratch_path(spark, "foreign")
     before = spark.conf.get("spark.sql.parquet.outputTimestampType")

@@ -78,6 +78,17 @@ def test_rank_with_a_hot_category_and_ties(spark, spread):
     }
 
 
+@pytest.mark.parametrize("top_n", [1, 2, 3, 4, 9])
+def test_first_ranks_keep_all_that_share_one(spark, top_n):
+    prices = [9.0, 9.0, 7.0] + [5.0] * 200 + [3.0]
+    rows = [
+        event(event_type="purchase", product_id=i, price=price) for i, price in enumerate(prices)
+    ]
+    got = {r.product_id: r["rank"] for r in op.product_rank(table(spark, *rows), top_n=top_n).collect()}
+    ranks = [1, 1, 3] + [4] * 200 + [204]
+    assert got == {i: rank for i, rank in enumerate(ranks) if rank <= top_n}
+
+
 def test_rank_by_number_of_purchases(spark):
     rows = [event(event_type="purchase", product_id=p) for p in (1, 1, 2, 3, 3, 4)]
     got = op.product_rank(table(spark, *rows), measure="num_purchases").collect()
