@@ -5,6 +5,7 @@ from aislewise.functions.columns import (
     is_event_type,
     micros_between,
     micros_to_minutes,
+    minutes_to_micros,
     missing,
     top_category,
     utc_without_zone,
@@ -15,6 +16,7 @@ __all__ = [
     "is_event_type",
     "micros_between",
     "micros_to_minutes",
+    "minutes_to_micros",
     "missing",
     "top_category",
     "utc_without_zone",

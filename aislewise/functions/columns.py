@@ -57,3 +57,8 @@ def micros_between(start: str, end: str) -> Column:
 
 def micros_to_minutes(micros: Column) -> Column:
     return micros / F.lit(MICROS_PER_MINUTE)
+
+
+def minutes_to_micros(minutes: str) -> Column:
+    """Inverse of micros_to_minutes; exact below 2**51 microseconds (71 years)."""
+    return F.floor(F.col(minutes) * F.lit(MICROS_PER_MINUTE) + F.lit(0.5))

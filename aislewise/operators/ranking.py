@@ -45,7 +45,7 @@ def rank_products(
     ranks are worked out per distinct score and joined to the products.
     """
     if measure == "total_revenue":
-        score = F.round(F.col("total_revenue") * 100).cast("long")
+        score = F.floor(F.col("total_revenue") * 100 + 0.5)
     elif measure == "num_purchases":
         score = F.col("num_purchases")
     else:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# A non-negative long is read as three digits of 21 bits each.
-DIGIT_BITS = 21
-DIGIT_SHIFTS = (42, 21, 0)
+# A non-negative long is read as four digits of 16 bits.
+DIGIT_BITS = 16
+DIGIT_SHIFTS = (48, 32, 16, 0)
 DIGIT_MASK = (1 << DIGIT_BITS) - 1
 
 
@@ -18,50 +18,55 @@ def exact_median(values: DataFrame, column: str) -> DataFrame:
     `column` holds longs of zero or more; nulls are ignored. The median is found
     digit by digit: count the values per leading digit, see in which digit the
     middle ranks fall, and go on with the values that share it. Each count is
-    combined before its shuffle and has at most 2**21 rows, so neither the number
-    of values nor many equal ones burden a single task.
+    combined before its shuffle and has at most 2**16 rows per middle rank, so
+    neither the number of values nor many equal ones burden a single task.
     """
     known = values.select(F.col(column).cast("long").alias("_value")).filter(
         F.col("_value").isNotNull()
     )
-    top = DIGIT_SHIFTS[0]
-    counts = known.groupBy(F.shiftright("_value", top).alias("_digit")).agg(
+    counts = known.groupBy(F.shiftright("_value", DIGIT_SHIFTS[0]).alias("_digit")).agg(
         F.count("*").alias("_rows")
     )
     total = F.sum("_rows").over(Window.partitionBy())
-    middle = F.array(
-        F.struct(F.lit(0).alias("_side"), F.expr("(_total - 1) div 2").alias("_rank")),
-        F.struct(F.lit(1).alias("_side"), F.expr("_total div 2").alias("_rank")),
+    ranked = counts.withColumn("_total", total).withColumns(
+        {
+            "_upto": F.sum("_rows").over(Window.orderBy("_digit")),
+            "_low": F.expr("(_total - 1) div 2"),
+            "_high": F.expr("_total div 2"),
+        }
     )
-    upto = F.sum("_rows").over(Window.orderBy("_digit"))
-    found = _holding_rank(
-        counts.withColumns({"_upto": upto, "_total": total}).select(
-            "_digit", "_rows", "_upto", F.inline(middle)
-        )
-    ).select("_side", F.col("_digit").alias("_prefix"), "_rank")
+    found = _holding_ranks(ranked, F.col("_digit"))
 
     for shift in DIGIT_SHIFTS[1:]:
         prefix = F.shiftright("_value", shift + DIGIT_BITS)
         digit = F.shiftright("_value", shift).bitwiseAND(F.lit(DIGIT_MASK))
-        # `found` has two rows, one for each middle rank.
+        # `found` has one row, or two where the middle ranks have parted.
         counts = (
             known.select(prefix.alias("_prefix"), digit.alias("_digit"))
             .join(F.broadcast(found), "_prefix")
-            .groupBy("_side", "_prefix", "_rank", "_digit")
+            .groupBy("_prefix", "_low", "_high", "_digit")
             .agg(F.count("*").alias("_rows"))
         )
-        upto = F.sum("_rows").over(Window.partitionBy("_side").orderBy("_digit"))
-        found = _holding_rank(counts.withColumn("_upto", upto)).select(
-            "_side",
-            (F.shiftleft("_prefix", DIGIT_BITS) + F.col("_digit")).alias("_prefix"),
-            "_rank",
+        upto = F.sum("_rows").over(Window.partitionBy("_prefix").orderBy("_digit"))
+        found = _holding_ranks(
+            counts.withColumn("_upto", upto),
+            F.shiftleft("_prefix", DIGIT_BITS) + F.col("_digit"),
         )
     return found.agg(F.avg("_prefix").alias("median"))
 
 
-def _holding_rank(running: DataFrame) -> DataFrame:
-    """The digits that hold the wanted ranks, with the rank left inside the digit."""
+def _holding_ranks(running: DataFrame, prefix: Column) -> DataFrame:
+    """Digits that hold the lower or the higher middle rank, counted within the digit.
+
+    A digit that holds one of them only carries it on as both.
+    """
     before = F.col("_upto") - F.col("_rows")
-    return running.filter(
-        (F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto"))
-    ).withColumn("_rank", F.col("_rank") - before)
+
+    def inside(rank: str) -> Column:
+        return (F.col(rank) >= before) & (F.col(rank) < F.col("_upto"))
+
+    low = F.when(inside("_low"), F.col("_low")).otherwise(F.col("_high")) - before
+    high = F.when(inside("_high"), F.col("_high")).otherwise(F.col("_low")) - before
+    return running.filter(inside("_low") | inside("_high")).select(
+        prefix.alias("_prefix"), low.alias("_low"), high.alias("_high")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from aislewise.functions import micros_between, micros_to_minutes
+from aislewise.functions import micros_between, micros_to_minutes, minutes_to_micros
 from aislewise.operators.selection import exact_median
 
 SAMPLE_SIZE = 500_000
@@ -72,7 +72,7 @@ def session_summary(sessions: DataFrame, approx: bool = False) -> DataFrame:
     if approx:
         sketch = F.percentile_approx("session_duration_min", 0.5, 10_000)
         return sessions.agg(*means, sketch.alias("median_duration_min")).select(*columns)
-    lasted = sessions.select(micros_between("session_start", "session_end").alias("micros"))
+    lasted = sessions.select(minutes_to_micros("session_duration_min").alias("micros"))
     median = exact_median(lasted, "micros").select(
         micros_to_minutes(F.col("median")).alias("median_duration_min")
     )
