@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# A non-negative long is read as four digits of 16 bits.
+# A non-negative long is read as a leading part and two digits of 16 bits. In
+# microseconds the leading part has 2**16 values for each nine years it spans.
 DIGIT_BITS = 16
-DIGIT_SHIFTS = (48, 32, 16, 0)
+DIGIT_SHIFTS = (32, 16, 0)
 DIGIT_MASK = (1 << DIGIT_BITS) - 1
 
 
@@ -16,10 +17,10 @@ def exact_median(values: DataFrame, column: str) -> DataFrame:
     """One row `median` (double): mean of the middle one or two values; null if none.
 
     `column` holds longs of zero or more; nulls are ignored. The median is found
-    digit by digit: count the values per leading digit, see in which digit the
-    middle ranks fall, and go on with the values that share it. Each count is
-    combined before its shuffle and has at most 2**16 rows per middle rank, so
-    neither the number of values nor many equal ones burden a single task.
+    digit by digit: count the values per leading part, see in which one the middle
+    ranks fall, and go on with the values that share it. Each count is combined
+    before its shuffle and has one row per digit, so neither the number of values
+    nor many equal ones burden a single task.
     """
     known = values.select(F.col(column).cast("long").alias("_value")).filter(
         F.col("_value").isNotNull()
