@@ -95,10 +95,13 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def clean_events(df: DataFrame) -> DataFrame:
     """Complete keys, known event type, price of zero or more, non-blank session, UTC time."""
-    # na.drop also removes NaN prices, which would pass the comparison with zero.
+    kept = df
+    for name in KEY_COLUMNS:
+        # Also drops NaN prices, which would pass the comparison with zero. Unlike
+        # na.drop, a null test per column reaches a Parquet scan.
+        kept = kept.filter(~missing(df, name))
     return utc_without_zone(
-        df.na.drop(subset=list(KEY_COLUMNS))
-        .filter(F.col("event_type").isin(*EVENT_TYPES))
+        kept.filter(F.col("event_type").isin(*EVENT_TYPES))
         .filter(F.col("price") >= 0)
         .filter(has_text("user_session"))
     )

@@ -91,7 +91,9 @@ def session_sample(sessions: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
     which buckets hold the first `size` rows, so only those rows and at most one
     bucket more reach the final ordering, however many sessions there are.
     """
-    keyed = sessions.withColumn("_digest", F.md5(F.col("user_session").cast("binary")))
+    # Without nulls the join below needs no filter, which would compute it once more.
+    digest = F.coalesce(F.md5(F.col("user_session").cast("binary")), F.lit(""))
+    keyed = sessions.withColumn("_digest", digest)
     bucket = F.substring("_digest", 1, BUCKET_DIGITS)
     sizes = keyed.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,19 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aislewise import functions as fn
 from aislewise import operators as op
-from aislewise.functions import top_category
+from aislewise import sources
 from aislewise.plans import analyse, ingest
 from aislewise.plans.ingest import record_mode
 from aislewise.schema import RAW
 from aislewise.sinks import preview, write_result, write_validated
-from aislewise.sources import (
-    generate_events,
-    load_events,
-    sample_csv,
-    scan_csv,
-    scan_rejects,
-)
+from aislewise.sources import load_events, sample_csv, scan_csv, scan_rejects
 from aislewise.workspace import scratch_path, stage
 from checks.tables import (
     csv_copy,
@@ -75,8 +70,8 @@ def validated_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_events(spark, path).select(*RAW.names)
 
 
-def synthetic_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generate_events(event_table(spark, sf_dir), "event_id", events_per_session=5)
+def generate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.generate_events(event_table(spark, sf_dir), "event_id", events_per_session=5)
 
 
 # Validation and cleaning
@@ -138,10 +133,10 @@ def ingest_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Analyses
 
 
-def top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         raw_events(spark, sf_dir)
-        .groupBy("category_code", top_category().alias("top_category"))
+        .groupBy("category_code", fn.top_category().alias("top_category"))
         .agg(F.count("*").alias("count"))
     )
 
@@ -261,7 +256,7 @@ QUERIES: dict[str, Query] = {
         csv_accepted,
         sample_head,
         validated_scan,
-        synthetic_events,
+        generate_events,
         schema_report,
         input_verify,
         dq_report,
@@ -270,7 +265,7 @@ QUERIES: dict[str, Query] = {
         validated_write,
         result_roundtrip,
         ingest_idempotent,
-        top_categories,
+        top_category,
         revenue_by_category,
         product_rank,
         product_rank_top5,
@@ -292,6 +287,3 @@ QUERIES: dict[str, Query] = {
         end_to_end_row_counts,
     )
 }
-# Names used in the operator inventory.
-QUERIES["generate_events"] = QUERIES.pop("synthetic_events")
-QUERIES["top_category"] = QUERIES.pop("top_categories")

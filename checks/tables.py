@@ -33,9 +33,9 @@ def raw_events_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     the size check of the optimizer: small enough it is broadcast, otherwise the
     adaptive skew join splits the large keys.
     """
-    events = event_table(spark, sf_dir).withColumn(
-        "k", F.get_json_object("props", "$.k").cast("long")
-    )
+    # Without nulls the join needs no filter, which would parse the text once more.
+    key = F.coalesce(F.get_json_object("props", "$.k").cast("long"), F.lit(-1))
+    events = event_table(spark, sf_dir).withColumn("k", key)
     parts = spark.read.schema(PART).parquet(f"{sf_dir}/part.parquet")
     parts = parts.withColumnRenamed("p_partkey", "k")
     return events.join(parts, "k").select(

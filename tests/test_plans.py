@@ -57,6 +57,13 @@ def test_pushed_filters(stored):
     assert "GreaterThanOrEqual(price,5.0)" in plan
 
 
+def test_cleaning_reaches_the_scan(spark, stored):
+    pushed = plan_of(op.clean_events(stored)).split("PushedFilters: ")[1]
+    # The plan text is cut off after a few filters.
+    for name in ("user_id", "product_id", "price", "event_time"):
+        assert f"IsNotNull({name})" in pushed
+
+
 @pytest.mark.parametrize("name", ["clean_events", "product_rank", "session_stats", "dq_report"])
 def test_no_python_in_the_plans(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
