@@ -11,14 +11,19 @@ from aislewise.operators.quality import (
     schema_report,
     verify_input,
 )
-from aislewise.operators.ranking import product_rank, product_sales, rank_products
+from aislewise.operators.ranking import product_rank, rank_products
 from aislewise.operators.reports import (
     funnel_by_rate,
     funnel_steps,
     hourly_histogram,
     top_rows,
 )
-from aislewise.operators.sales import revenue_by_category, top_brands
+from aislewise.operators.sales import (
+    product_sales,
+    revenue_by_category,
+    sales_by,
+    top_brands,
+)
 from aislewise.operators.sessions import (
     merge_session_partials,
     session_partials,
@@ -44,6 +49,7 @@ __all__ = [
     "rank_products",
     "require_rows",
     "revenue_by_category",
+    "sales_by",
     "schema_report",
     "session_partials",
     "session_sample",

@@ -6,25 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window, WindowSpec
 
-from aislewise.functions import top_category
-from aislewise.operators.sales import purchases
+from aislewise.operators.sales import product_sales
 
 # Scores are ranked in blocks of 2**20 neighbouring values.
 BLOCK_BITS = 20
 
 
-def product_sales(events: DataFrame) -> DataFrame:
-    """Revenue, to the cent, and number of purchases per product."""
-    return (
-        purchases(events)
-        .groupBy(top_category().alias("top_category"), "product_id")
-        .agg(
-            F.round(F.sum("price"), 2).alias("total_revenue"),
-            F.count("*").alias("num_purchases"),
-        )
-    )
-
-
 def product_rank(
     events: DataFrame, measure: str = "total_revenue", top_n: int | None = None
 ) -> DataFrame:

@@ -285,6 +285,10 @@ SQL: dict[str, str] = {
            round(avg(total_spend), 4) AS avg_spend
     FROM sessions
     """,
+    "session_summary_approx": f"""
+    {_with(RAW, CLEAN, SESSIONS)}
+    SELECT count(*) AS num_sessions, true AS median_within_bound FROM sessions
+    """,
     "session_sample": f"""
     {_with(RAW, CLEAN, SESSIONS)}
     SELECT * FROM sessions ORDER BY md5(user_session), user_session LIMIT 200
