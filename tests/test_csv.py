@@ -5,10 +5,13 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from aislewise.operators import clean_events, compare_schema
 from aislewise.schema import RAW
+from aislewise.sinks import write_events_csv
 from aislewise.sources import (
     discover_inputs,
     generate_events,
@@ -17,6 +20,7 @@ from aislewise.sources import (
     scan_rejects,
     write_synthetic_csv,
 )
+from aislewise.workspace import scratch_path
 
 HEADER = ",".join(RAW.names)
 GOOD = "2019-10-01 00:00:05 UTC,view,1,2053013555631882655,electronics.audio,lg,1.50,5,abc"
@@ -160,3 +164,26 @@ def test_synthetic_events_depend_on_id_and_seed_only(spark):
     assert other.select("price", "user_id").exceptAll(once.select("price", "user_id")).count() > 1900
     shared = generate_events(spark.range(2000), events_per_session=4)
     assert shared.select("user_session").distinct().count() == 500
+
+
+# Any text without line breaks and null characters.
+TEXT = st.text(
+    st.characters(exclude_categories=["Cs", "Cc", "Zl", "Zp"], include_characters="\t"), max_size=8
+)
+FIELD = st.one_of(st.none(), TEXT, st.sampled_from([" ", '"', '""', ",", "\\", 'a\\"', "NA", "#x"]))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(FIELD, FIELD, FIELD, st.floats(allow_nan=False)), min_size=1, max_size=20))
+def test_text_and_numbers_survive_a_round_trip(spark, rows):
+    time = dt.datetime(2019, 10, 1, 0, 0, 5)
+    events = [
+        (time, "view", i, 2 * 10**18, code, brand, price, 5, session)
+        for i, (code, brand, session, price) in enumerate(rows)
+    ]
+    df = spark.createDataFrame(events, RAW)
+    path = scratch_path(spark, "csv")
+    write_events_csv(df, path)
+    # An empty text cannot be told from a missing one.
+    expected = {e[2]: tuple(None if v == "" else v for v in e) for e in events}
+    assert {r.product_id: tuple(r) for r in scan_csv(spark, path).collect()} == expected
