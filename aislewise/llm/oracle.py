@@ -66,4 +66,42 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
 FROM counts
 """
 
-SQL: dict[str, str] = {"op1_quality_rules": OP1}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4 = rf"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce({_LOWER}, ''), '{_WORD}') AS w
+  FROM documents
+), grams AS (
+  SELECT r, doc_id, list_distinct(CASE
+           WHEN len(w) = 0 THEN []
+           WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+         END) AS g
+  FROM doc
+), sets AS (
+  SELECT min(r) AS s, min(doc_id) AS least, any_value(g) AS g, len(any_value(g)) AS n
+  FROM grams WHERE len(g) > 0 GROUP BY list_sort(g)
+), gram AS (
+  SELECT s, n, unnest(g) AS x FROM sets
+), link AS (
+  SELECT a.s AS u, b.s AS v
+  FROM gram a JOIN gram b ON a.x = b.x AND a.s <> b.s AND a.n * 100 >= b.n * 90 AND b.n * 100 >= a.n * 90
+  GROUP BY a.s, b.s, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT s AS u, s AS v FROM sets
+  UNION
+  SELECT reach.u, link.v FROM reach JOIN link ON reach.v = link.u
+), smallest AS (
+  SELECT u, min(least) AS component_id FROM reach JOIN sets ON sets.s = reach.v GROUP BY u
+), of_set AS (
+  SELECT list_sort(g) AS g, component_id FROM sets JOIN smallest ON smallest.u = sets.s
+)
+SELECT doc_id, len(grams.g)::BIGINT AS n_shingles,
+       CASE WHEN len(grams.g) = 0 THEN doc_id ELSE component_id END AS component_id
+FROM grams LEFT JOIN of_set ON list_sort(grams.g) = of_set.g
+"""
+
+SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_ngram_jaccard_join": OP4}

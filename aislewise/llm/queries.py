@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aislewise.llm.common import read_table
+from aislewise.llm.common import fold, read_table
+from aislewise.llm.decontaminate import find_leaks
+from aislewise.llm.language_id import identify_languages, train_languages
+from aislewise.llm.ngram_join import JoinRule, component_of_documents
 from aislewise.llm.quality_rules import clean_lines
 from aislewise.llm.sharding import assign_shards
 from aislewise.llm.url_rules import UrlRule, judge_urls
@@ -24,6 +28,24 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(read_table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    remainder = fold(F.col("doc_id"), 4)
+    model = train_languages(docs.where(remainder != 2))
+    found = identify_languages(docs, model)
+    return found.select("doc_id", (remainder == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return component_of_documents(docs, JoinRule(words=3, percent=90))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return find_leaks(docs, benchmark)
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = (read_table(spark, sf_dir, t) for t in ("pages", "labels"))
     return judge_urls(pages, labels, URL_RULES).drop("confidence")
@@ -34,5 +56,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op8_url_filters, op10_sharding)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op3_language_id,
+        op4_ngram_jaccard_join,
+        op6_benchmark_decontamination,
+        op8_url_filters,
+        op10_sharding,
+    )
 }
