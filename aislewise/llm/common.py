@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +30,34 @@ def bounded_batches(spark: SparkSession) -> None:
     A Python worker then holds a few megabytes of text at a time however long
     the documents are; a document larger than that travels alone.
     """
+    _ship_package(spark)
     given = spark.sparkContext.getConf()
     for key, value in ARROW_BATCH.items():
         if not given.contains(key):
             spark.conf.set(key, value)
 
 
+_shipped: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for each application.
+
+    Workers import the functions they run. Where the package is neither installed on the executors nor
+    among the submitted files, they get it from the driver by Spark's own means.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="aislewise-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
@@ -63,4 +88,6 @@ def hashed_sample(
         share = F.when(here, F.lit(bound)).otherwise(share)
     others = [c for c in rows.columns if c not in key]
     drawn = rows.where(mark < share)
+    if not others:
+        return drawn.select(*key).distinct()
     return drawn.groupBy(*key).agg(*[F.first(c).alias(c) for c in others])

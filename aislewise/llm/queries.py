@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from aislewise.llm.common import fold, read_table
 from aislewise.llm.decontaminate import find_leaks
+from aislewise.llm.gru_lm import score_documents
+from aislewise.llm.html_extract import extract_text
 from aislewise.llm.language_id import identify_languages, train_languages
 from aislewise.llm.ngram_join import JoinRule, component_of_documents
 from aislewise.llm.quality_rules import clean_lines
+from aislewise.llm.sentencepiece_wfst import encode_documents, load_transducer
 from aislewise.llm.sharding import assign_shards
+from aislewise.llm.toxicity import score_toxicity, train_toxicity
 from aislewise.llm.url_rules import UrlRule, judge_urls
 
 URL_RULES = (
@@ -28,6 +32,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(read_table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     remainder = fold(F.col("doc_id"), 4)
@@ -41,16 +49,35 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return component_of_documents(docs, JoinRule(words=3, percent=90))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents"), load_transducer())
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return find_leaks(docs, benchmark)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    remainder = fold(F.col("doc_id"), 5)
+    model = train_toxicity(docs, labels.where(remainder != 0))
+    found = score_toxicity(docs, model)
+    return found.select("doc_id", (remainder == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = (read_table(spark, sf_dir, t) for t in ("pages", "labels"))
     return judge_urls(pages, labels, URL_RULES).drop("confidence")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    remainder = fold(F.col("doc_id"), 5)
+    scored = score_documents(docs, docs.where(remainder != 1))
+    return scored.withColumn("held_out", remainder == 1)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read_table(spark, sf_dir, "documents"))
 
@@ -59,10 +86,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_html_extraction,
         op3_language_id,
         op4_ngram_jaccard_join,
+        op5_sentencepiece,
         op6_benchmark_decontamination,
+        op7_toxicity,
         op8_url_filters,
+        op9_lm_scoring,
         op10_sharding,
     )
 }
