@@ -9,6 +9,8 @@ is verified once per pair on the full grams.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,18 +19,26 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from aislewise.llm import tokens
 from aislewise.llm.common import bounded_batches, stage
 from aislewise.llm.components import connected_components
 
 U64 = np.uint64
-#: Counters of the gram frequencies that set the order; grams that fall together are
-#: ordered by their sum. The order decides on speed alone, so a fixed number will do.
-COUNTERS = 1 << 16
-BINS = 16
-#: Bits of the filter that keeps grams of sets without candidates from being shuffled.
-FILTER_BITS = 1 << 23
+#: Counters of the gram frequencies that set the order, sent in chunks. Grams that fall
+#: together are ordered by their sum; the order decides on speed alone.
+COUNTER_BITS, CHUNK = 21, 4096
+COUNTERS = 1 << COUNTER_BITS
+#: Bits of the suffix filter's sketch beside each gram; a sketch of a whole set has as many for each gram.
+PARITY_BITS, BITS_PER_GRAM = 256, 4
+#: Bits of the filters that spare the shuffles what can't match; when they fill up, more passes.
+SET_BITS, GRAM_BITS = 1 << 23, 1 << 26
+
+
+SKETCH = tuple(f"s{k}" for k in range(PARITY_BITS // 64))
+PREFIX = ["gram", "id", "n", "at", *SKETCH]
+_PREFIX_SHAPE = "gram long, id long, n int, at int, " + ", ".join(f"{c} long" for c in SKETCH)
 
 
 @dataclass(frozen=True)
@@ -87,50 +97,46 @@ def _describe(rule: JoinRule):
         counts = np.zeros(COUNTERS, np.int64)
         schema = pa.schema(
             [("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int64())]
-            + [("spread", pa.binary()), ("counter", pa.int32()), ("grams", pa.int64())]
+            + [("chunk", pa.int32()), ("counts", pa.binary())]
         )
         for batch in batches:
             texts = _Texts(batch.column("text"), rule)
-            for s in texts.sets:
-                counts += np.bincount(_counter(s), minlength=COUNTERS) if len(s) > COUNTERS else 0
-            small = [s for s in texts.sets if len(s) <= COUNTERS]
-            if small:
-                counts += np.bincount(_counter(np.concatenate(small)), minlength=COUNTERS)
-            spread = [
-                np.bincount((s & U64(BINS - 1)).astype(np.int64), minlength=BINS)
-                .astype(">i4")
-                .tobytes()
-                for s in texts.sets
-            ]
-            nothing = [None] * len(spread)
+            if texts.sets:
+                np.add.at(counts, _counter(np.concatenate(texts.sets)), 1)
+            nothing = [None] * batch.num_rows
             yield pa.record_batch(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array(texts.ids),
                     pa.array([len(s) for s in texts.sets], pa.int64()),
-                    pa.array(spread, pa.binary()),
                     pa.array(nothing, pa.int32()),
-                    pa.array(nothing, pa.int64()),
+                    pa.array(nothing, pa.binary()),
                 ],
                 schema=schema,
             )
-        used = np.flatnonzero(counts)
-        nothing = [None] * len(used)
-        yield pa.record_batch(
-            [
-                *[pa.array(nothing, pa.int64())] * 3,
-                pa.array(nothing, pa.binary()),
-                pa.array(used.astype(np.int32)),
-                pa.array(counts[used]),
-            ],
-            schema=schema,
-        )
+        for chunk, part in enumerate(counts.reshape(-1, CHUNK)):
+            if part.any():
+                values = [None, None, None, chunk, part.astype("<i8").tobytes()]
+                columns = [pa.array([v], f.type) for v, f in zip(values, schema)]
+                yield pa.record_batch(columns, schema=schema)
 
     return run
 
 
+def _added_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the chunks of a partition, in memory for no more than all counters."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, counts in zip(*(batch.column(c).to_pylist() for c in ("chunk", "counts"))):
+            here = sums.setdefault(chunk, np.zeros(CHUNK, np.int64))
+            here += np.frombuffer(counts, "<i8")
+    columns = [pa.array(list(sums), pa.int32())]
+    columns.append(pa.array([c.astype("<i8").tobytes() for c in sums.values()], pa.binary()))
+    yield pa.record_batch(columns, names=["chunk", "counts"])
+
+
 def _counter(grams: np.ndarray) -> np.ndarray:
-    return (grams >> U64(48)).astype(np.int64)
+    return (grams >> U64(64 - COUNTER_BITS)).astype(np.int64)
 
 
 def _prefixes(rule: JoinRule, frequency: np.ndarray):
@@ -154,11 +160,39 @@ def _prefixes(rule: JoinRule, frequency: np.ndarray):
                         np.full(size, name, np.int64),
                         np.full(size, len(grams), np.int32),
                         np.arange(size, dtype=np.int32),
+                        *(np.full(size, w, np.int64) for w in _parity(grams, PARITY_BITS).view(np.int64)),
                     )
                 )
             if out:
                 columns = [pa.array(np.concatenate(c)) for c in zip(*out)]
-                yield pa.record_batch(columns, names=["gram", "id", "n", "at"])
+                yield pa.record_batch(columns, names=PREFIX)
+
+    return run
+
+
+def _parity(grams: np.ndarray, bits: int) -> np.ndarray:
+    """For each bin whether an odd number of grams falls into it, as bytes.
+
+    Two sets' sketches differ in at most as many bins as there are grams that only one has.
+    """
+    odd = np.bincount((grams & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def _sketch_gap() -> Column:
+    """In how many bins the sketches beside two grams differ."""
+    return functools.reduce(
+        operator.add, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"r_{c}"))) for c in SKETCH]
+    )
+
+
+def _in_filter(bitmap: np.ndarray):
+    """The rows whose gram may be in the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column("gram").to_numpy() % (8 * len(bitmap))
+            yield batch.filter(pa.array((bitmap[slot >> 3] >> (slot & 7) & 1).astype(bool)))
 
     return run
 
@@ -170,90 +204,101 @@ def _wanted_sets(rule: JoinRule, bitmap: np.ndarray):
         seen: set[int] = set()
         for batch in batches:
             texts = _Texts(batch.column("text"), rule)
-            names, sets = [], []
+            names, sets, sketches = [], [], []
             for name, grams in zip(texts.ids.tolist(), texts.sets):
-                slot = name % FILTER_BITS
+                slot = name % SET_BITS
                 if name and name not in seen and bitmap[slot >> 3] >> (slot & 7) & 1:
                     seen.add(name)
                     names.append(name)
                     sets.append(grams.tobytes())
+                    bits = 1 << (BITS_PER_GRAM * len(grams)).bit_length()
+                    sketches.append(_parity(grams, max(bits, 64)).tobytes())
+            columns = [pa.array(x, pa.binary()) for x in (sketches, sets)]
             yield pa.record_batch(
-                [pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["id", "grams"]
+                [pa.array(names, pa.int64()), *columns], names=["id", "sketch", "grams"]
             )
 
     return run
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        common = [
-            len(np.intersect1d(np.frombuffer(x, U64), np.frombuffer(y, U64), True))
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
-        ]
-        yield pa.record_batch(
-            [batch.column("a"), batch.column("b"), batch.column("n_both"), pa.array(common, pa.int64())],
-            names=["a", "b", "n_both", "common"],
-        )
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch as if made with fewer bins: bins that fall together add up."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size), axis=0)
+
+
+def _near(rule: JoinRule):
+    """The pairs whose sketches don't rule out a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            pairs = (batch.column(c).to_pylist() for c in ("n_both", "x", "y"))
+            for n_both, x, y in zip(*pairs):
+                size = min(len(x), len(y))
+                apart = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
+                # The most common grams that are left, against the threshold.
+                good.append((n_both - apart) // 2 * (100 + rule.percent) >= n_both * rule.percent)
+            yield batch.select(["a", "b", "n_both"]).filter(pa.array(good, pa.bool_()))
+
+    return run
 
 
-def _bitmap_of(ids: DataFrame) -> np.ndarray:
-    """A bit for each remainder of the ids; its size is fixed by FILTER_BITS."""
-    slot = F.pmod(F.col("id"), F.lit(FILTER_BITS))
+def _overlaps(rule: JoinRule):
+    """The pairs whose sets reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            pairs = (batch.column(c).to_pylist() for c in ("n_both", "x", "y"))
+            for n_both, x, y in zip(*pairs):
+                common = len(np.intersect1d(np.frombuffer(x, U64), np.frombuffer(y, U64), True))
+                good.append(common * 100 >= (n_both - common) * rule.percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def _bitmap_of(values: DataFrame, size: int) -> np.ndarray:
+    """A bit for each remainder of the one column by `size`, which bounds what is collected."""
+    slot = F.pmod(F.col(values.columns[0]), F.lit(size))
     parts = (
-        ids.select(slot.alias("slot"))
+        values.select(slot.alias("slot"))
         .groupBy((F.col("slot") / 32768).cast("int").alias("part"))
         .agg(F.expr("bitmap_construct_agg(slot % 32768)").alias("bits"))
-        .collect()
+        .toArrow()
     )
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in parts:
-        out[row.part * 4096 : (row.part + 1) * 4096] = np.frombuffer(row.bits, np.uint8)
+    out = np.zeros(max(size // 8, 4096), np.uint8)
+    for part, bits in zip(parts["part"].to_pylist(), parts["bits"].to_pylist()):
+        out[part * 4096 : (part + 1) * 4096] = np.frombuffer(bits, np.uint8)
     return out
 
 
-def _linked(
-    pairs: DataFrame, sets: DataFrame, texts: DataFrame, rule: JoinRule
-) -> DataFrame:
-    """Those candidate pairs (a, b) that reach the threshold, by the suffix filter and then exactly."""
-    half = lambda side: sets.select(
-        F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("spread").alias(f"spread_{side}")
-    )
-    gap = sum(
-        F.abs(_bin("spread_a", k) - _bin("spread_b", k)) for k in range(BINS)
-    )
-    needed = overlap_needed(F.col("n_a"), F.col("n_b"), rule.percent)
-    close = (
-        pairs.distinct()
-        .join(half("a"), "a")
-        .join(half("b"), "b")
-        .where(gap <= F.col("n_a") + F.col("n_b") - needed * 2)
-        .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n_both"))
-    )
-    close = stage(close, "candidates")
-    bitmap = _bitmap_of(
-        close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id")))
-    )
-    grams = texts.mapInArrow(_wanted_sets(rule, bitmap), "id long, grams binary")
-    grams = stage(grams, "grams")
-    grams = grams.join(
-        close.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi"
-    ).dropDuplicates(["id"])
-    both = close.join(grams.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a").join(
-        grams.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b"
+def _linked(pairs: DataFrame, texts: DataFrame, rule: JoinRule) -> DataFrame:
+    """Those candidate pairs (a, b, n_both) that reach the threshold, each verified once.
+
+    The suffix filter comes first once more, on sketches as long as the sets ask for; only
+    what it leaves has its grams brought together.
+    """
+    ids = lambda p: p.select(F.explode(F.array("a", "b")).alias("id"))
+    close = stage(pairs.distinct(), "candidates")
+    pool = texts.mapInArrow(
+        _wanted_sets(rule, _bitmap_of(ids(close), SET_BITS)), "id long, sketch binary, grams binary"
     )
-    counted = both.mapInArrow(_overlaps, "a long, b long, n_both long, common long")
-    return counted.where(
-        F.col("common") * 100 >= (F.col("n_both") - F.col("common")) * rule.percent
-    ).select("a", "b")
+    pool = stage(pool, "grams")
 
+    def beside(left: DataFrame, column: str) -> DataFrame:
+        one = pool.select("id", column)
+        one = one.join(ids(left).distinct(), "id", "left_semi").dropDuplicates(["id"])
+        x, y = ((F.col("id").alias(k), F.col(column).alias(v)) for k, v in (("a", "x"), ("b", "y")))
+        return left.join(one.select(*x), "a").join(one.select(*y), "b")
 
-def _bin(column: str, k: int) -> Column:
-    """The k-th counter of a set's spread over the bins."""
-    return F.conv(F.hex(F.substring(column, 4 * k + 1, 4)), 16, 10).cast("long")
+    near = beside(close, "sketch").mapInArrow(_near(rule), "a long, b long, n_both long")
+    near = stage(near, "near")
+    return beside(near, "grams").mapInArrow(_overlaps(rule), "a long, b long")
 
 
 def _may_link(rule: JoinRule) -> Column:
-    """The length and positional filters on (id, n, at) and the other's (r_id, r_n, r_at)."""
+    """The length, positional and suffix filters on a row of PREFIX and another, named r_."""
     n, m = F.col("n"), F.col("r_n")
     most = F.least(n - F.col("at"), m - F.col("r_at"))
     return (
@@ -261,11 +306,13 @@ def _may_link(rule: JoinRule) -> Column:
         & (n * 100 >= m * rule.percent)
         & (m * 100 >= n * rule.percent)
         & (most >= overlap_needed(n, m, rule.percent))
+        & (_sketch_gap() <= n + m - overlap_needed(n, m, rule.percent) * 2)
     )
 
 
-def _pair() -> tuple[Column, Column]:
-    return F.least("id", "r_id").alias("a"), F.greatest("id", "r_id").alias("b")
+def _pair() -> tuple[Column, ...]:
+    both = (F.col("n") + F.col("r_n")).cast("long")
+    return F.least("id", "r_id").alias("a"), F.greatest("id", "r_id").alias("b"), both.alias("n_both")
 
 
 def similar_documents(
@@ -290,69 +337,53 @@ def similar_documents(
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     described = stage(
         texts.mapInArrow(
-            _describe(rule), "doc_id long, id long, n long, spread binary, counter int, grams long"
+            _describe(rule), "doc_id long, id long, n long, chunk int, counts binary"
         ),
         "sets",
     )
-    counts = (
-        described.where("counter is not null")
-        .groupBy("counter")
-        .agg(F.sum("grams").alias("grams"))
-        .collect()
-    )
-    frequency = np.zeros(COUNTERS, np.int64)
-    for row in counts:
-        frequency[row.counter] = row.grams
-    members = described.where("counter is null").select("doc_id", "id", "n")
-    sets = (
-        described.where("counter is null and id <> 0")
-        .groupBy("id")
-        .agg(F.first("n").alias("n"), F.first("spread").alias("spread"))
-    )
+    chunks = described.where("chunk is not null").select("chunk", "counts").repartition("chunk")
+    frequency = np.zeros((COUNTERS // CHUNK, CHUNK), np.int64)
+    for row in chunks.mapInArrow(_added_chunks, "chunk int, counts binary").toLocalIterator():
+        frequency[row.chunk] += np.frombuffer(row.counts, "<i8")
+    frequency = np.minimum(frequency, 0x7FFFFFFF).astype(np.int32).reshape(-1)
+    members = described.where("chunk is null").select("doc_id", "id", "n")
     text = texts.select("text")
-    prefixes = stage(
-        text.mapInArrow(_prefixes(rule, frequency), "gram long, id long, n int, at int"), "prefixes"
-    )
+    prefixes = stage(text.mapInArrow(_prefixes(rule, frequency), _PREFIX_SHAPE), "prefixes")
+    # Most grams of a prefix are in no other one. A filter of those met again takes them out
+    # before rows are shuffled; what it lets through by chance ends at the join with the heads.
+    again = prefixes.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram")
+    rows = prefixes.mapInArrow(_in_filter(_bitmap_of(again, GRAM_BITS)), _PREFIX_SHAPE)
+    rows = stage(rows, "repeated")
     heads = (
-        prefixes.groupBy("gram")
-        .agg(F.min(F.struct("at", "n", "id")).alias("head"), F.max("id").alias("hi"), F.min("id").alias("lo"))
-        .where("lo <> hi")
-        .select(
-            F.col("gram").alias("r_gram"),
-            F.col("head.id").alias("r_id"),
-            F.col("head.n").alias("r_n"),
-            F.col("head.at").alias("r_at"),
+        rows.groupBy("gram")
+        .agg(
+            F.min(F.struct("at", "n", "id", *SKETCH)).alias("head"),
+            F.max("id").alias("hi"),
+            F.min("id").alias("lo"),
         )
+        .where("lo <> hi")
+        .select("gram", *[F.col(f"head.{c}").alias(f"r_{c}") for c in PREFIX[1:]])
     )
-    shared = prefixes.join(heads, F.col("gram") == F.col("r_gram")).drop("r_gram")
-    shared = stage(shared, "shared")
+    shared = stage(rows.join(heads, "gram"), "shared")
     first = shared.where(_may_link(rule)).select(*_pair())
-    links = stage(_linked(first, sets, text, rule), "links")
+    links = stage(_linked(first, text, rule), "links")
     components = stage(connected_components(links), "components")
 
     of = components.select(F.col("node").alias("id"), F.col("component").alias("c"))
     of_head = components.select(F.col("node").alias("r_id"), F.col("component").alias("r_c"))
     named = (
-        shared.select("gram", "id", "n", "at", "r_id")
+        shared.select(*PREFIX, "r_id")
         .join(of, "id", "left")
         .join(of_head, "r_id", "left")
-        .select(
-            "gram",
-            "id",
-            "n",
-            "at",
-            F.coalesce("c", "id").alias("c"),
-            F.coalesce("r_c", "r_id").alias("r_c"),
-        )
+        .select(*PREFIX, F.coalesce("c", "id").alias("c"), F.coalesce("r_c", "r_id").alias("r_c"))
     )
     named = stage(named, "named")
-    apart = named.where("c <> r_c").select("gram", "id", "n", "at", "c")
-    others = named.select(*[F.col(c).alias(f"r_{c}") for c in ("gram", "id", "n", "at", "c")])
+    apart = named.where("c <> r_c").select(*PREFIX, "c")
+    others = named.select(*[F.col(c).alias(f"r_{c}") for c in (*PREFIX, "c")])
     second = apart.join(
         others, (F.col("gram") == F.col("r_gram")) & (F.col("c") != F.col("r_c")) & _may_link(rule)
     ).select(*_pair())
-    more = _linked(second, sets, text, rule)
-    return members, connected_components(links.unionByName(more))
+    return members, connected_components(links.unionByName(_linked(second, text, rule)))
 
 
 def component_of_documents(
@@ -445,8 +476,5 @@ def drop_near_duplicates(
 
 
 def _arrow_schema(df: DataFrame) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(df.schema, timezone="UTC").append(
-        pa.field("name", pa.int64())
-    ).append(pa.field("bare", pa.bool_()))
+    own = [pa.field("name", pa.int64()), pa.field("bare", pa.bool_())]
+    return pa.schema([*to_arrow_schema(df.schema), *own])
