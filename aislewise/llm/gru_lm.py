@@ -293,16 +293,16 @@ def train_model(docs: DataFrame, counts: DataFrame, s: GruSettings) -> LanguageM
     """
     whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(whole.n or 0), int(whole.v)
-    top = counts.where("cluster >= 0").orderBy(F.desc("n"), "word").limit(s.head).toPandas()
+    top = _frequent(counts.where("cluster >= 0"), s.head)
     ends = counts.where("cluster < 0").agg(F.sum("n")).first()[0] or 0
-    head = np.concatenate([[END], top["word"].to_numpy(np.int64).view(U64)])
-    number = np.concatenate([[ends], top["n"].to_numpy(np.int64)])
-    own = min(s.words, len(top)) + 1
+    head = np.concatenate([[END], top["word"].to_numpy().view(U64)])
+    number = np.concatenate([[ends], top["n"].to_numpy()])
+    own = min(s.words, top.num_rows) + 1
     mass = np.full(s.clusters, 0.5)
     sums = counts.where("cluster >= 0").groupBy("cluster").agg(F.sum(F.col("n") + 0.5).alias("m"))
     for row in sums.collect():
         mass[row.cluster] += row.m
-    of_own = top["cluster"].to_numpy(np.int64)[: own - 1]
+    of_own = top["cluster"].to_numpy()[: own - 1]
     mass -= np.bincount(of_own, number[1:own] + 0.5, s.clusters)
     blank = LanguageModel(
         head, number, own, np.maximum(mass, 0.5), total, distinct, new_gru(own + s.clusters, s), s
@@ -324,12 +324,26 @@ def train_model(docs: DataFrame, counts: DataFrame, s: GruSettings) -> LanguageM
                 parts.append(np.append(part, 0).astype(np.int32))
             yield pa.record_batch([pa.array(parts, pa.list_(pa.int32()))], names=["ids"])
 
-    rows = [r.ids for r in drawn.mapInArrow(run, "ids array<int>").collect()]
-    sample = [np.array(x, np.int64) for x in sorted(rows)]
+    rows = drawn.mapInArrow(run, "ids array<int>").toArrow()["ids"]
+    sample = sorted((x.values.to_numpy().astype(np.int64) for x in rows), key=lambda x: x.tobytes())
     gru = train_gru(sample, own + s.clusters, s)
     return LanguageModel(head, number, own, blank.mass, total, distinct, gru, s)
 
 
+def _frequent(counts: DataFrame, most: int) -> pa.Table:
+    """The most frequent words (word, cluster, n), at most `most`, the first the most frequent.
+
+    Words that one text alone would bring are as many as all others, so the least count that
+    leaves at most `most` words is found first, from how many words have which count.
+    """
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toArrow()
+    held = np.cumsum(sizes["words"].to_numpy())
+    rank = int(np.searchsorted(held, most, "right"))
+    least = int(sizes["n"][rank - 1].as_py()) if rank else 1 << 62
+    found = counts.where(F.col("n") >= least).select("word", "cluster", "n").toArrow()
+    return found.sort_by([("n", "descending"), ("word", "ascending")])
+
+
 def _own_numbers(words: _Words, place: np.ndarray, model: LanguageModel) -> np.ndarray:
     """Token numbers of the network: 0 the end, frequent words, then clusters."""
     own = (place >= 0) & (place < model.own)
