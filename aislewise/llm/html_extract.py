@@ -279,10 +279,12 @@ def low_nodes(pages: DataFrame, settings: TreeSettings = TreeSettings()) -> Data
     n, m = F.col("n"), F.sum("n")
     importance = counts.groupBy("host", "node", "kind").agg(
         m.alias("pages"),
-        ((F.log(m) * m - F.sum(n * F.log(n))) / (m * F.log(m))).alias("entropy"),
+        F.sum(n * F.log(n)).alias("spread"),
     )
+    whole_log = F.col("pages") * F.log("pages")
+    entropy = F.when(F.col("pages") > 1, (whole_log - F.col("spread")) / whole_log).otherwise(1.0)
     whole = importance.groupBy("host", "node").agg(
-        F.max("pages").alias("pages"), F.max(F.coalesce("entropy", F.lit(1.0))).alias("importance")
+        F.max("pages").alias("pages"), F.max(entropy).alias("importance")
     )
     low = (F.col("pages") >= settings.pages) & (F.col("importance") < settings.least)
     return whole.where(low).select("host", "node")
