@@ -33,8 +33,8 @@ class ToxicitySettings:
 
     length: int = 3
     decay: float = 0.6
-    sample: int = 1500
-    landmarks: int = 192
+    sample: int = 800
+    landmarks: int = 200
     rounds: int = 3
     regular: float = 1e-4
 
@@ -294,21 +294,25 @@ def _svm(
     width = space.shape[1] + 1
     if not len(yes) or not len(no):
         return np.zeros(width - 1), -1.0
-    x = np.c_[space[np.r_[yes, no]], np.ones(len(yes) + len(no))].astype(np.float64)
+    rows = np.r_[yes, no]
     y = np.r_[np.ones(len(yes)), -np.ones(len(no))]
     c = np.r_[np.full(len(yes), TOXIC_WEIGHT / len(yes)), of_no]
-    ridge = np.full(width, s.regular)
-    w = np.zeros(width)
-    active = None
-    for _ in range(30):
-        inside = y * (x @ w) < 1
-        if active is not None and (inside == active).all():
+    w, before = np.zeros(width), None
+    for step in range(30):
+        bend, pull = np.diag(np.full(width, s.regular)), np.zeros(width)
+        inside = np.empty(len(rows), bool)
+        for at in range(0, len(rows), 8192):
+            part = slice(at, at + 8192)
+            x = np.c_[space[rows[part]].astype(np.float64), np.ones(len(rows[part]))]
+            inside[part] = hit = y[part] * (x @ w) < 1
+            x, weight = x[hit], c[part][hit]
+            bend += (x * weight[:, None]).T @ x
+            pull += x.T @ (weight * y[part][hit])
+        if before is not None and (inside == before).all():
             break
-        active = inside
-        part, weight = x[inside], c[inside]
-        bend = (part * weight[:, None]).T @ part + np.diag(ridge)
-        full = np.linalg.solve(bend, (part * (weight * y[inside])[:, None]).sum(0))
-        w = full if _ < 5 else (w + full) / 2
+        before = inside
+        full = np.linalg.solve(bend, pull)
+        w = full if step < 5 else (w + full) / 2
     return w[:-1], float(w[-1])
 
 
