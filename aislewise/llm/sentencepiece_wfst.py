@@ -17,7 +17,7 @@ SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, DEFINED, BYTE = 1, 4, 6
-CACHE = 500_000
+CACHE = 400_000
 INFINITE = float("inf")
 
 
@@ -47,10 +47,17 @@ class Transducer:
     penalty: float = 0.0
     chunks: re.Pattern | None = None
     cache: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    older: dict[str, tuple[int, ...]] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    lengths: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.pieces), default=1)
+        self.lengths = {}
+        for piece in self.pieces:
+            if len(piece) > 1:
+                self.lengths.setdefault(piece[:2], set()).add(len(piece))
+        self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in self.lengths.items()}
         self.penalty = 10 - min((s for _, s in self.pieces.values()), default=0.0)
         self.values = {i: b for b, i in self.bytes_.items()}
         joined = [p for p in self.pieces if len(p) > 1]
@@ -61,7 +68,7 @@ class Transducer:
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}{re.escape(alone)}]+|{stop}{SPACE}+", re.S)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"cache": {}, "pairs": {}}
+        return self.__dict__ | {"cache": {}, "older": {}, "pairs": {}}
 
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -81,13 +88,20 @@ class Transducer:
         return out
 
     def _learn(self, part: str) -> tuple[int, ...]:
-        """The path of a new part; the stores are emptied when full, so memory is bounded."""
+        """The path of a part that the store lacks.
+
+        A full store becomes the older one, from which parts met again come back; what isn't
+        met until the next change is gone. So memory is bounded and common words stay.
+        """
         if len(self.cache) >= CACHE:
+            self.older = dict(self.cache)
             self.cache.clear()
         if len(self.pairs) >= CACHE:
             self.pairs.clear()
-        path = self._viterbi(part) if self.kind == UNIGRAM else self._compatible(part)
-        got = tuple(i for p in path for i in self._numbers(p))
+        got = self.older.get(part)
+        if got is None:
+            path = self._viterbi(part) if self.kind == UNIGRAM else self._compatible(part)
+            got = tuple([i for p in path for i in self._numbers(p)])
         if len(part) <= 64:
             self.cache[part] = got
         return got
@@ -100,13 +114,13 @@ class Transducer:
             return (self.unknown,)
         return tuple(self.bytes_[b] for b in piece.encode("utf-8", "surrogatepass"))
 
-    def _arcs(self, text: str, at: int) -> list[str]:
+    def _arcs(self, text: str, at: int) -> Iterator[str]:
         """Pieces that leave a place, the longest first; a character of no piece is its own arc."""
-        ends = range(min(len(text), at + self.longest), at, -1)
-        found = [text[at:e] for e in ends if text[at:e] in self.pieces]
-        if not found or len(found[-1]) > 1:
-            found.append(text[at])
-        return found
+        for size in self.lengths.get(text[at : at + 2], ()):
+            piece = text[at : at + size]
+            if len(piece) == size and piece in self.pieces:
+                yield piece
+        yield text[at]
 
     def _viterbi(self, text: str) -> list[str]:
         """Least sum of weights; of equal ones the path whose last piece is longest."""
@@ -129,37 +143,36 @@ class Transducer:
         A state from which no finite path leads on is entered once.
         """
         path: list[str] = []
-        at, choices = 0, [iter(self._arcs(text, 0))] if text else []
+        at, size = 0, len(text)
+        choices = [self._arcs(text, 0)] if text else []
         failed: set[tuple[int, str]] = set()
-        while at < len(text):
+        pairs = self.pairs
+        while at < size:
+            last = path[-1] if path else ""
             for piece in choices[-1]:
-                if (at, piece) in failed or path and not self._pair(path[-1], piece):
-                    continue
-                if not path and not self._whole(piece):
-                    continue
-                path.append(piece)
-                at += len(piece)
-                choices.append(iter(self._arcs(text, at)) if at < len(text) else iter(()))
-                break
+                fits = pairs.get((last, piece))
+                if fits is None:
+                    fits = self._pair(last, piece)
+                if fits and (not failed or (at, piece) not in failed):
+                    path.append(piece)
+                    at += len(piece)
+                    if at < size:
+                        choices.append(self._arcs(text, at))
+                    break
             else:
                 choices.pop()
                 if not path:
                     return self._merge(text)  # pieces of one score can leave no path
-                last = path.pop()
+                path.pop()
                 at -= len(last)
                 failed.add((at, last))
         return path
 
-    def _whole(self, piece: str) -> bool:
-        return len(piece) == 1 or self._pair(piece, "")
-
     def _pair(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            want = [left, right] if right else [left]
-            known = self._merge(left + right) == want
-            self.pairs[left, right] = known
-        return known
+        """Whether merging gives two neighbours back; with nothing to the left, the one piece."""
+        fits = self._merge(left + right) == ([left, right] if left else [right])
+        self.pairs[left, right] = fits
+        return fits
 
     def _merge(self, text: str) -> list[str]:
         """Byte-pair merging: again and again the neighbours whose joined piece scores best, leftmost first."""
