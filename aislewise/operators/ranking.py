@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window, WindowSpec
 
-from aislewise.operators.sales import product_sales
+from aislewise.operators.sales import cents, product_sales
 
 # Scores are ranked in blocks of 2**20 neighbouring values.
 BLOCK_BITS = 20
@@ -32,7 +32,7 @@ def rank_products(
     ranks are worked out per distinct score and joined to the products.
     """
     if measure == "total_revenue":
-        score = F.floor(F.col("total_revenue") * 100 + 0.5)
+        score = cents("total_revenue")
     elif measure == "num_purchases":
         score = F.col("num_purchases")
     else:
@@ -45,18 +45,19 @@ def rank_products(
             "top_category": F.coalesce("top_category", F.lit("unknown")),
         }
     )
-    ranks = _all_ranks(scored) if top_n is None else _first_ranks(scored, top_n)
+    ranks = _ranks(scored, top_n)
     return scored.join(ranks, ["top_category", "_score"]).select(
         "top_category", "product_id", "total_revenue", "num_purchases", "rank"
     )
 
 
-def _all_ranks(scored: DataFrame) -> DataFrame:
-    """Rank of each score: one plus the number of products ahead.
+def _ranks(scored: DataFrame, top_n: int | None) -> DataFrame:
+    """Rank of each score, up to top_n: one plus the number of products ahead.
 
     These are the products in better blocks of scores and those with a better
     score in the same block. A window sees the blocks of a category or the
-    distinct scores of a block, not the products.
+    distinct scores of a block, not the products. Blocks with top_n products or
+    more ahead of them are left out before the second window.
     """
     block = F.shiftright("_score", BLOCK_BITS).alias("_block")
     scores = scored.groupBy("top_category", block, "_score").agg(F.count("*").alias("_products"))
@@ -69,24 +70,11 @@ def _all_ranks(scored: DataFrame) -> DataFrame:
     by_block = Window.partitionBy("top_category").orderBy(F.desc("_block"))
     in_block = Window.partitionBy("top_category", "_block").orderBy(F.desc("_score"))
     offsets = blocks.select("top_category", "_block", ahead(by_block).alias("_offset"))
-    return (
-        scores.withColumn("_ahead", ahead(in_block))
-        .join(offsets, ["top_category", "_block"])
+    if top_n is not None:
+        offsets = offsets.filter(F.col("_offset") < top_n)
+    ranks = (
+        scores.join(offsets, ["top_category", "_block"])
+        .withColumn("_ahead", ahead(in_block))
         .select("top_category", "_score", (F.col("_offset") + F.col("_ahead") + 1).alias("rank"))
     )
-
-
-def _first_ranks(scored: DataFrame, top_n: int) -> DataFrame:
-    """The scores that rank up to top_n.
-
-    Any top_n products with the best scores hold all of these scores, at their
-    right places, so every task passes on no more than top_n rows per category
-    even where many more products share a score.
-    """
-    best = Window.partitionBy("top_category").orderBy(F.desc("_score"))
-    return (
-        scored.select("top_category", "_score", F.row_number().over(best).alias("_place"))
-        .filter(F.col("_place") <= top_n)
-        .groupBy("top_category", "_score")
-        .agg(F.min("_place").cast("long").alias("rank"))
-    )
+    return ranks if top_n is None else ranks.filter(F.col("rank") <= top_n)

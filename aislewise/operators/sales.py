@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from aislewise.functions import top_category
 
 
+def cents(amount: Column | str) -> Column:
+    """An amount in whole cents: sums of the same prices compare equal in any order of adding."""
+    return F.floor((F.col(amount) if isinstance(amount, str) else amount) * 100 + 0.5)
+
+
 def sales_by(events: DataFrame, *keys: Column | str) -> DataFrame:
     """Revenue and number of purchases per key."""
     return (
@@ -22,7 +27,7 @@ def revenue_by_category(events: DataFrame) -> DataFrame:
     return (
         sales_by(events, top_category().alias("top_category"))
         .withColumn("avg_price", F.col("total_revenue") / F.col("num_purchases"))
-        .orderBy(F.desc("total_revenue"), "top_category")
+        .orderBy(cents("total_revenue").desc(), "top_category")
     )
 
 
@@ -30,7 +35,7 @@ def top_brands(events: DataFrame, top_n: int = 20) -> DataFrame:
     """The brands with the highest purchase revenue; equal revenue goes by name."""
     return (
         sales_by(events.filter(F.col("brand").isNotNull()), "brand")
-        .orderBy(F.desc("total_revenue"), "brand")
+        .orderBy(cents("total_revenue").desc(), "brand")
         .limit(top_n)
     )
 

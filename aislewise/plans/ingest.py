@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -34,11 +35,12 @@ def ingest(
 ) -> IngestOutcome:
     """Parse, check, clean and write the inputs in one pass over them.
 
-    Skipped when target already holds events of the same mode. The marker that
-    says so is written last and goes away with an overwrite, so an interrupted
-    run is done again.
+    Skipped when target already holds events of the same mode and the same inputs: their
+    names and pattern, number, bytes and newest time. The marker that says so is written
+    last and goes away with an overwrite, so an interrupted run is done again.
     """
-    if _holds_events(spark, target) and _recorded_mode(spark, target) == sample:
+    state = input_state(spark, inputs, pattern)
+    if _holds_events(spark, target) and _recorded(spark, target) == (sample, state):
         return IngestOutcome(skipped=True)
 
     parse = parse_csv_sample if sample else parse_csv
@@ -53,7 +55,7 @@ def ingest(
     compare_schema(raw).require()
     clean = clean_events(raw).observe(rows, F.count("*").alias("written"))
     write_validated(clean, target, overwrite=True, compact=compact)
-    record_mode(spark, target, sample)
+    record_mode(spark, target, sample, state)
     return IngestOutcome(
         skipped=False,
         lines_read=lines.get["read"],
@@ -62,22 +64,36 @@ def ingest(
     )
 
 
+def input_state(spark: SparkSession, inputs: Paths, pattern: str | None = None) -> str:
+    """What tells these inputs from others, from their listing; their content is not read."""
+    roots = [inputs] if isinstance(inputs, str) else list(inputs)
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    seen = (
+        reader.load(roots)
+        .agg(F.count("*"), F.sum("length"), F.max(F.unix_micros("modificationTime")))
+        .first()
+    )
+    return json.dumps([roots, pattern, *seen])
+
+
 def _holds_events(spark: SparkSession, target: str) -> bool:
     try:
-        return bool(spark.read.schema("price double").parquet(target).inputFiles())
+        return not spark.read.schema("price double").parquet(target).isEmpty()
     except AnalysisException:
         return False
 
 
-def _recorded_mode(spark: SparkSession, target: str) -> bool | None:
-    """Mode of the last complete ingest; None if there is none or it is unreadable."""
+def _recorded(spark: SparkSession, target: str) -> tuple[bool, str | None] | None:
+    """Mode and inputs of the last complete ingest; None if there is none or it is unreadable."""
     try:
-        row = spark.read.schema("sample boolean").json(f"{target}/{MARKER}").first()
+        row = spark.read.schema("sample boolean, inputs string").json(f"{target}/{MARKER}").first()
     except AnalysisException:
         return None
-    return row.sample if row else None
+    return (row.sample, row.inputs) if row else None
 
 
-def record_mode(spark: SparkSession, target: str, sample: bool) -> None:
-    mode = spark.range(1).select(F.lit(sample).alias("sample"))
+def record_mode(spark: SparkSession, target: str, sample: bool, state: str | None = None) -> None:
+    mode = spark.range(1).select(F.lit(sample).alias("sample"), F.lit(state).alias("inputs"))
     mode.coalesce(1).write.mode("overwrite").json(f"{target}/{MARKER}")

@@ -23,7 +23,7 @@ SETTINGS = {
 
 # Input bytes per shuffle partition; adaptive execution merges those that turn out small.
 BYTES_PER_PARTITION = 2 * BLOCK_BYTES
-PARTITION_RANGE = (200, 100_000)
+LEAST_PARTITIONS = 200
 
 
 def build_session(
@@ -57,5 +57,4 @@ def size_shuffles(spark: SparkSession, paths: Sequence[str]) -> None:
     # The content column is not selected, so only the file listing is read.
     files = spark.read.format("binaryFile").load(list(paths))
     total = files.agg(F.sum("length").alias("total")).first().total or 0
-    low, high = PARTITION_RANGE
-    spark.conf.set(key, min(max(total // BYTES_PER_PARTITION, low), high))
+    spark.conf.set(key, max(total // BYTES_PER_PARTITION, LEAST_PARTITIONS))

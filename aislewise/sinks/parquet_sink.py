@@ -13,14 +13,16 @@ def write_validated(
     """Events partitioned by event_type; appends when not overwriting.
 
     Without `compact` no data moves: each input split writes at most one file per
-    event type. With `compact` one shuffle evens out the file sizes; the adaptive
+    event type. An overwrite takes away all earlier partitions, whatever the session
+    says about partitions. With `compact` one shuffle evens out the file sizes; the adaptive
     rebalance cuts a large event type into several files instead of one task.
     """
     events = utc_without_zone(df)
     if compact:
         events = events.hint("rebalance", "event_type")
     mode = "overwrite" if overwrite else "append"
-    events.write.mode(mode).partitionBy("event_type").parquet(path)
+    writer = events.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy("event_type").parquet(path)
 
 
 def write_result(df: DataFrame, path: str) -> None:

@@ -9,10 +9,11 @@ A quoted field therefore must not contain a line break.
 from __future__ import annotations
 
 import csv
+import functools
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislewise.schema import BLOCK_BYTES, CORRUPT, MONTHLY_FILES, RAW, SAMPLE_BLOCKS
@@ -64,15 +65,29 @@ def _column_list(header: str | None) -> str:
     return ", ".join([*quoted, f"{CORRUPT} string"])
 
 
+def _names_columns(line: Column) -> Column:
+    """Whether a line is a header: most columns of RAW are among its fields by name."""
+    fields = F.split(F.translate(F.ltrim(line, F.lit(BYTE_ORDER_MARK)), '"', ""), ",")
+    names = F.array(*[F.lit(n) for n in RAW.names])
+    most = F.size(F.array_intersect(fields, names)) * 2 > len(RAW.names)
+    return F.when(line.contains("event_type") | line.contains("event_time"), most).otherwise(False)
+
+
 def _parse(lines: DataFrame, header: str | None) -> DataFrame:
     """source_file, the columns of the header, and the raw line if malformed.
 
+    A file with another header ends the scan, as its values would land in wrong columns.
+
     inline() keeps the filters that follow above the parser, so that every line
     is parsed once and always against all columns.
     """
     body = lines.filter(F.trim("value") != "")
     if header is not None:
         body = body.filter(F.ltrim("value", F.lit(BYTE_ORDER_MARK)) != header)
+        other = F.raise_error(F.concat(F.lit("another header than the first file's: "), "value"))
+        body = body.filter(
+            F.when(_names_columns(F.col("value")), other.cast("boolean")).otherwise(True)
+        )
     record = F.from_csv("value", _column_list(header), PARSE_OPTIONS)
     return body.select(
         F.col("_metadata.file_name").alias("source_file"), F.inline(F.array(record))
@@ -109,18 +124,42 @@ def parse_csv_sample(
     blocks: int = SAMPLE_BLOCKS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """parse_csv over the first blocks of the first file only.
+    """parse_csv over the first blocks of the input, each file by its own header.
 
-    Rows belong to the split in which their line starts, so the cut is exact when
-    spark.sql.files.maxPartitionBytes divides the sample size and otherwise off by
-    at most one split.
+    Files count in the order given, those of a folder by path. Rows belong to the split
+    in which their line starts, so the cut is exact when spark.sql.files.maxPartitionBytes
+    divides the block size and otherwise off by at most one split.
     """
-    root = paths if isinstance(paths, str) else paths[0]
-    first_file = min(_text(spark, root, pattern).inputFiles())
-    lines = _text(spark, first_file, None).filter(
-        F.col("_metadata.file_block_start") < blocks * block_bytes
-    )
-    return _parse(lines, read_header(spark, first_file))
+    parts = [
+        _parse(
+            _text(spark, file, None).filter(F.col("_metadata.file_block_start") < n * block_bytes),
+            read_header(spark, file),
+        )
+        for file, n in _first_blocks(spark, paths, pattern, blocks, block_bytes)
+    ]
+    if not parts:
+        return parse_csv(spark, paths, pattern)
+    return functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def _first_blocks(
+    spark: SparkSession, paths: Paths, pattern: str | None, blocks: int, block_bytes: int
+) -> list[tuple[str, int]]:
+    """The files that hold the first blocks, and how many of them each holds.
+
+    A file with content has a block at least, so `blocks` files are enough to look at.
+    """
+    found: list[tuple[str, int]] = []
+    for root in [paths] if isinstance(paths, str) else paths:
+        reader = spark.read.format("binaryFile")
+        if pattern:
+            reader = reader.option("pathGlobFilter", pattern)
+        files = reader.load(root).select("path", "length").where("length > 0")
+        for file in files.orderBy("path").limit(blocks).collect():
+            left = blocks - sum(n for _, n in found)
+            if left > 0:
+                found.append((file.path, min(left, -(-file.length // block_bytes))))
+    return found
 
 
 def sample_csv(
@@ -130,5 +169,5 @@ def sample_csv(
     blocks: int = SAMPLE_BLOCKS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Well-formed rows in the first blocks of the first file, for quick trials."""
+    """Well-formed rows in the first blocks of the input, for quick trials."""
     return well_formed(parse_csv_sample(spark, paths, pattern, blocks, block_bytes))

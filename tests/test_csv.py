@@ -9,7 +9,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from aislewise.operators import clean_events, compare_schema
+from aislewise.operators import clean_events, compare_schema, top_brands
+from aislewise.plans import ingest
 from aislewise.schema import RAW
 from aislewise.sinks import write_events_csv
 from aislewise.sources import (
@@ -187,3 +188,39 @@ def test_text_and_numbers_survive_a_round_trip(spark, rows):
     # An empty text cannot be told from a missing one.
     expected = {e[2]: tuple(None if v == "" else v for v in e) for e in events}
     assert {r.product_id: tuple(r) for r in scan_csv(spark, path).collect()} == expected
+
+
+def test_another_header_ends_the_scan(spark, tmp_path):
+    write(tmp_path / "a.csv", HEADER, GOOD)
+    names = list(RAW.names)
+    i, j = names.index("category_code"), names.index("brand")
+    names[i], names[j] = names[j], names[i]
+    write(tmp_path / "b.csv", ",".join(names), GOOD)
+    with pytest.raises(Exception, match="another header"):
+        scan_csv(spark, str(tmp_path)).collect()
+
+
+def test_sample_goes_on_to_the_next_file(spark, tmp_path):
+    for k in range(3):
+        write(tmp_path / f"{k}.csv", HEADER, GOOD.replace(",5,abc", f",{k},abc"))
+    assert sorted(r.user_id for r in sample_csv(spark, str(tmp_path)).collect()) == [0, 1]
+    given = [str(tmp_path / f"{k}.csv") for k in (2, 0, 1)]
+    assert sorted(r.user_id for r in sample_csv(spark, given).collect()) == [0, 2]
+
+
+def test_other_inputs_are_ingested_again(spark, tmp_path):
+    for name, rows in (("a", 1), ("b", 3)):
+        (tmp_path / name).mkdir()
+        write(tmp_path / name / "x.csv", HEADER, *[GOOD] * rows)
+    target = scratch_path(spark, "target")
+    assert ingest(spark, str(tmp_path / "a"), target).rows_written == 1
+    assert ingest(spark, str(tmp_path / "a"), target).skipped
+    assert ingest(spark, str(tmp_path / "b"), target).rows_written == 3
+
+
+def test_brands_of_equal_cents_go_by_name(spark):
+    rows = [("b", 0.1), ("b", 0.2), ("a", 0.3)]
+    bought = spark.createDataFrame(rows, "brand string, price double").withColumn(
+        "event_type", F.lit("purchase")
+    )
+    assert [r.brand for r in top_brands(bought, 1).collect()] == ["a"]

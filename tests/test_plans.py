@@ -107,9 +107,24 @@ def test_compact_write_cuts_a_large_event_type(spark):
     assert load_events(spark, path).count() == many.count()
 
 
-def test_first_ranks_limit_rows_before_the_shuffle(stored):
-    plan = plan_of(op.product_rank(stored, top_n=5))
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+@pytest.mark.parametrize("top_n", [5, 1000, 1001, 5000])
+def test_ranks_have_one_plan_without_a_window_over_products(stored, top_n):
+    plan = plan_of(op.product_rank(stored, top_n=top_n))
+    assert "WindowGroupLimit" not in plan
+    assert plan.count("Window [") == plan_of(op.product_rank(stored, top_n=5)).count("Window [")
+    assert "row_number" not in plan and "_block" in plan
+
+
+def test_overwrite_leaves_no_old_partitions(spark, stored):
+    path = scratch_path(spark, "overwritten")
+    write_validated(stored, path)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "dynamic")
+    try:
+        write_validated(stored.where("event_type = 'view'"), path)
+    finally:
+        spark.conf.unset(key)
+    assert [r.event_type for r in load_events(spark, path).select("event_type").distinct().collect()] == ["view"]
 
 
 def test_shuffles_fit_the_input(spark):
