@@ -244,10 +244,10 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for host, source in zip(*(batch.column(c).to_pylist() for c in ("host", "html"))):
             page, of_page = parse(source), _value([source])
-            for key in page.styles.keys() | page.texts.keys():
-                style, content = page.styles.get(key, []), page.texts.get(key, [])
-                if content:
-                    rows.append((host, of_page, key, _value(style), _value(content)))
+            # Nodes that are noise by presentation alone need no entropy.
+            for key in {key for key, noise, _, _ in page.blocks if not noise}:
+                style, content = page.styles.get(key, []), page.texts[key]
+                rows.append((host, of_page, key, _value(style), _value(content)))
         columns = list(zip(*rows)) or [()] * 5
         kinds = [pa.string(), *[pa.int64()] * 4]
         yield pa.record_batch(
