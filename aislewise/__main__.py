@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from aislewise.plans import run
-from aislewise.session import build_session, size_shuffles
+from aislewise.session import build_session
 from aislewise.sinks import preview
 
 
@@ -18,13 +18,23 @@ def main() -> None:
     parser.add_argument("--pattern", help="file name pattern within folders, such as 2019-*.csv")
     parser.add_argument("--sample", action="store_true", help="first two blocks only")
     parser.add_argument("--compact", action="store_true", help="shuffle to even out file sizes")
+    parser.add_argument("--rejects", action="store_true", help="store the malformed lines as well")
     parser.add_argument("--master", help="Spark master; left to spark-submit by default")
     args = parser.parse_args()
 
     spark = build_session(master=args.master)
     try:
-        size_shuffles(spark, args.inputs)
-        paths = run(spark, args.inputs, args.output, args.pattern, args.sample, args.compact)
+        paths = run(
+            spark, args.inputs, args.output, args.pattern, args.sample, args.compact, args.rejects
+        )
+        outcome = spark.read.parquet(paths["ingest_outcome"]).first()
+        if outcome.skipped:
+            print("ingest skipped: the output holds these inputs already")
+        else:
+            print(
+                f"lines read {outcome.lines_read}, rejected {outcome.lines_rejected}, "
+                f"rows written {outcome.rows_written}"
+            )
         previews = {
             "revenue_by_category": [F.desc("total_revenue"), F.col("top_category")],
             "top_brands": [F.desc("total_revenue"), F.col("brand")],

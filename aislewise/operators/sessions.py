@@ -88,8 +88,8 @@ def session_sample(sessions: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
     """`size` sessions, the same ones on every run: the first in md5 order.
 
     The md5 spreads the sessions evenly over 65,536 buckets. Counting them tells
-    which buckets hold the first `size` rows, so only those rows and at most one
-    bucket more reach the final ordering, however many sessions there are.
+    which buckets hold the first `size` rows and how many rows to take of each, so
+    only those buckets are ordered, each on its own, and no task gets all `size` rows.
     """
     # Without nulls the join below needs no filter, which would compute it once more.
     digest = F.coalesce(F.md5(F.col("user_session").cast("binary")), F.lit(""))
@@ -100,12 +100,13 @@ def session_sample(sessions: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
     needed = (
         sizes.withColumn("_ahead", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .filter(F.col("_ahead") < size)
-        .select("_bucket")
+        .select("_bucket", "_ahead")
     )
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", "user_session"))
     return (
         keyed.withColumn("_bucket", bucket)
-        .join(F.broadcast(needed), "_bucket", "left_semi")
-        .orderBy("_digest", "user_session")
-        .limit(size)
+        .join(F.broadcast(needed), "_bucket")
+        .withColumn("_place", place)
+        .filter(F.col("_ahead") + F.col("_place") <= size)
         .select(*sessions.columns)
     )

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from aislewise.operators import (
     conversion_funnel,
     hourly_activity,
+    merge_session_partials,
     product_sales,
     rank_products,
     require_rows,
     revenue_by_category,
+    session_partials,
     session_sample,
-    session_stats,
     session_summary,
     top_brands,
 )
@@ -30,13 +31,14 @@ FROM_EVENTS: dict[str, Build] = {
     "revenue_by_category": revenue_by_category,
     "conversion_funnel": conversion_funnel,
     "hourly_activity": hourly_activity,
-    "session_stats": session_stats,
+    "session_partials": session_partials,
     "top_brands": top_brands,
     "product_sales": product_sales,
 }
-# Results computed from another result, which they read more than once.
+# Results computed from another result. The partials stay, to be merged with those of later months.
 FROM_RESULT: dict[str, tuple[str, Build]] = {
     "product_rank": ("product_sales", rank_products),
+    "session_stats": ("session_partials", merge_session_partials),
     "session_summary": ("session_stats", session_summary),
     "session_sample": ("session_stats", session_sample),
 }

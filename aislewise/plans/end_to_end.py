@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from aislewise.plans.analysis import analyse
 from aislewise.plans.ingest import ingest
-from aislewise.sources.csv_events import Paths
+from aislewise.schema import BLOCK_BYTES, CORRUPT, SAMPLE_BLOCKS
+from aislewise.session import size_shuffles
+from aislewise.sinks import write_result
+from aislewise.sources.csv_events import Paths, parse_csv, parse_csv_sample
+
+OUTCOME = "skipped boolean, lines_read long, lines_rejected long, rows_written long"
 
 
 def run(
@@ -16,8 +22,24 @@ def run(
     pattern: str | None = None,
     sample: bool = False,
     compact: bool = False,
+    rejects: bool = False,
 ) -> dict[str, str]:
-    """Ingest unless already done, then run all analyses; returns the result paths."""
+    """Ingest unless already done, then run all analyses; returns the result paths.
+
+    Shuffles and splits are sized by the input first. `ingest_outcome` is a table of one row: whether
+    the ingest was skipped, and the lines read and rejected and the rows written if not. With
+    `rejects` the malformed lines are stored too, as (source_file, line), by a second
+    pass over the input that a skipped ingest does not make.
+    """
+    size_shuffles(spark, inputs, pattern, SAMPLE_BLOCKS * BLOCK_BYTES if sample else None)
     validated = f"{output}/validated"
-    ingest(spark, inputs, validated, pattern, sample, compact)
-    return analyse(spark, validated, f"{output}/results")
+    outcome = ingest(spark, inputs, validated, pattern, sample, compact)
+    paths = {"ingest_outcome": f"{output}/ingest_outcome"}
+    write_result(spark.createDataFrame([tuple(outcome)], OUTCOME), paths["ingest_outcome"])
+    if rejects:
+        paths["rejects"] = f"{output}/rejects"
+        if not outcome.skipped:
+            parse = parse_csv_sample if sample else parse_csv
+            bad = parse(spark, inputs, pattern).filter(F.col(CORRUPT).isNotNull())
+            write_result(bad.select("source_file", F.col(CORRUPT).alias("line")), paths["rejects"])
+    return paths | analyse(spark, validated, f"{output}/results")

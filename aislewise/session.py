@@ -21,6 +21,8 @@ SETTINGS = {
 }
 
 
+# Splits of one scan; a larger input gets larger splits, so that files and tasks stay manageable.
+MOST_SPLITS = 200_000
 # Input bytes per shuffle partition; adaptive execution merges those that turn out small.
 BYTES_PER_PARTITION = 2 * BLOCK_BYTES
 LEAST_PARTITIONS = 200
@@ -45,16 +47,36 @@ def build_session(
     return spark
 
 
-def size_shuffles(spark: SparkSession, paths: Sequence[str]) -> None:
-    """Fit the number of shuffle partitions to the input unless it was given.
+def _given(spark: SparkSession, key: str) -> bool:
+    """Whether the session was started with a value of its own for a setting."""
+    return spark.sparkContext.getConf().contains(key)
+
+
+def size_shuffles(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    pattern: str | None = None,
+    most: int | None = None,
+) -> None:
+    """Fit the number of shuffle partitions and the split size to the input unless they were given.
 
     An aggregation by session can shuffle a good part of the input, and adaptive
-    execution merges partitions of an aggregation but never cuts one.
+    execution merges partitions of an aggregation but never cuts one. `pattern` selects
+    files; `most` is the number of bytes that will be read if that is less, as in sample mode.
     """
-    key = "spark.sql.shuffle.partitions"
-    if spark.sparkContext.getConf().contains(key):
+    shuffles, splits = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    if _given(spark, shuffles) and _given(spark, splits):
         return
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     # The content column is not selected, so only the file listing is read.
-    files = spark.read.format("binaryFile").load(list(paths))
+    files = reader.load([paths] if isinstance(paths, str) else list(paths))
     total = files.agg(F.sum("length").alias("total")).first().total or 0
-    spark.conf.set(key, max(total // BYTES_PER_PARTITION, LEAST_PARTITIONS))
+    if most is not None:
+        total = min(total, most)
+    if not _given(spark, shuffles):
+        spark.conf.set(shuffles, max(total // BYTES_PER_PARTITION, LEAST_PARTITIONS))
+    if not _given(spark, splits):
+        blocks = max(1, -(-total // (BLOCK_BYTES * MOST_SPLITS)))
+        spark.conf.set(splits, blocks * BLOCK_BYTES)

@@ -217,6 +217,10 @@ SQL: dict[str, str] = {
     """,
     "result_roundtrip": f"""
     {_with(RAW, CLEAN, REVENUE)}
+    SELECT * FROM revenue
+    """,
+    "result_preview": f"""
+    {_with(RAW, CLEAN, REVENUE)}
     SELECT * FROM revenue ORDER BY total_revenue DESC, top_category LIMIT 5
     """,
     "ingest_idempotent": f"""
@@ -287,7 +291,9 @@ SQL: dict[str, str] = {
     """,
     "session_summary_approx": f"""
     {_with(RAW, CLEAN, SESSIONS)}
-    SELECT count(*) AS num_sessions, true AS median_within_bound FROM sessions
+    SELECT count(*) AS num_sessions, round(avg(num_events), 6) AS avg_events,
+           round(avg(total_spend), 4) AS avg_spend, true AS median_within_bound
+    FROM sessions
     """,
     "session_sample": f"""
     {_with(RAW, CLEAN, SESSIONS)}
@@ -299,6 +305,8 @@ SQL: dict[str, str] = {
     UNION ALL SELECT 'revenue_by_category', count(*) FROM revenue
     UNION ALL SELECT 'conversion_funnel', count(*) FROM funnel
     UNION ALL SELECT 'hourly_activity', count(*) FROM hourly
+    UNION ALL SELECT 'session_partials', count(*)
+    FROM (SELECT DISTINCT user_session, event_type FROM clean) AS p
     UNION ALL SELECT 'session_stats', count(*) FROM sessions
     UNION ALL SELECT 'top_brands', count(*) FROM brands
     UNION ALL SELECT 'product_sales', count(*) FROM products
@@ -306,4 +314,26 @@ SQL: dict[str, str] = {
     UNION ALL SELECT 'session_summary', 1
     UNION ALL SELECT 'session_sample', least(count(*), 500000) FROM sessions
     """,
+    "end_to_end_values": f"""
+    {_with(RAW, CLEAN, REVENUE, FUNNEL, BRANDS)}, found AS (
+      SELECT 'revenue_by_category' AS table_name, top_category AS key,
+             'total_revenue' AS measure, CAST(total_revenue AS DOUBLE) AS value FROM revenue
+      UNION ALL SELECT 'revenue_by_category', top_category, 'num_purchases', num_purchases FROM revenue
+      UNION ALL SELECT 'conversion_funnel', top_category, 'view', "view" FROM funnel
+      UNION ALL SELECT 'conversion_funnel', top_category, 'cart', cart FROM funnel
+      UNION ALL SELECT 'conversion_funnel', top_category, 'purchase', purchase FROM funnel
+      UNION ALL SELECT 'top_brands', brand, 'total_revenue', total_revenue FROM brands
+      UNION ALL SELECT 'session_stats', 'all', 'num_events', count(*) FROM clean
+    )
+    SELECT table_name, key, measure, round(value, 2) AS value FROM found
+    """,
+    "sample_head": f"""
+    {_with(RAW)} SELECT {COLUMNS} FROM raw WHERE event_id % 4 IN (0, 1)
+    """,
+    "input_discovery": f"""
+    {_with(RAW)} SELECT CAST(event_id % 2 AS INTEGER) AS folder, true AS as_listed, count(*) AS row_count
+    FROM raw GROUP BY event_id % 2
+    """,
 }
+# The job stores the very lines that the scan rejects.
+SQL["job_rejects"] = SQL["csv_rejects"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,11 @@ from pyspark.sql import functions as F
 from aislewise import functions as fn
 from aislewise import operators as op
 from aislewise import sources
-from aislewise.plans import analyse, ingest
+from aislewise.plans import analyse, ingest, run
 from aislewise.plans.ingest import record_mode
 from aislewise.schema import RAW
 from aislewise.sinks import preview, write_result, write_validated
-from aislewise.sources import load_events, sample_csv, scan_csv, scan_rejects
+from aislewise.sources import discover_inputs, load_events, sample_csv, scan_csv, scan_rejects
 from aislewise.workspace import scratch_path, stage
 from checks.tables import (
     csv_copy,
@@ -22,6 +23,7 @@ from checks.tables import (
     event_table,
     events,
     raw_events,
+    raw_events_with_id,
     write_lines,
 )
 
@@ -61,7 +63,29 @@ def csv_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_csv(spark, csv_copy(raw_events(spark, sf_dir)), pattern="*.csv")
+    """Four files of one block each, of which the first two in the order given are taken."""
+    whole = raw_events_with_id(spark, sf_dir)
+    parts = [whole.where(F.pmod("event_id", F.lit(4)) == k).select(*RAW.names) for k in range(4)]
+    files = [csv_copy(part.coalesce(1)) for part in parts]
+    return sample_csv(spark, files, pattern="*.csv", block_bytes=1 << 50)
+
+
+def input_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the discovered files of each folder, and whether an absent name was left out."""
+    whole = raw_events_with_id(spark, sf_dir)
+    counts = []
+    for k in range(2):
+        folder = csv_copy(whole.where(F.pmod("event_id", F.lit(2)) == k).select(*RAW.names))
+        names = sorted(path.rsplit("/", 1)[-1] for path in spark.read.text(folder).inputFiles())
+        found = discover_inputs(spark, folder, ["absent.csv", *names])
+        counts.append(
+            scan_csv(spark, found).agg(
+                F.lit(k).alias("folder"),
+                F.lit([f.rsplit("/", 1)[-1] for f in found] == names).alias("as_listed"),
+                F.count("*").alias("row_count"),
+            )
+        )
+    return counts[0].unionByName(counts[1])
 
 
 def validated_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +134,12 @@ def validated_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "result")
+    write_result(op.revenue_by_category(events(spark, sf_dir)), path)
+    return _rounded(spark.read.parquet(path), total_revenue=2, avg_price=4)
+
+
+def result_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "result")
     write_result(op.revenue_by_category(events(spark, sf_dir)), path)
     stored = preview(spark, path, F.desc("total_revenue"), F.col("top_category"), rows=5)
@@ -228,8 +258,11 @@ def session_summary_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     below = F.count_if(F.col("session_duration_min") < median)
     upto = F.count_if(F.col("session_duration_min") <= median)
     rows = F.count("*")
+    means = summary.select("avg_events", "avg_spend").first()
     return sessions.agg(
         rows.alias("num_sessions"),
+        F.lit(round(means.avg_events, 6)).alias("avg_events"),
+        F.lit(round(means.avg_spend, 4)).alias("avg_spend"),
         ((below <= rows * 0.5001) & (upto >= rows * 0.4999)).alias("median_within_bound"),
     )
 
@@ -258,6 +291,45 @@ def end_to_end_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return united
 
 
+def end_to_end_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job's values: revenue, funnel and brands by name, and sums over all sessions."""
+    paths = run(spark, csv_copy(raw_events(spark, sf_dir)), scratch_path(spark, "job"))
+
+    def values(name: str, key: str, *measures: str) -> list[DataFrame]:
+        stored = spark.read.parquet(paths[name])
+        return [
+            stored.select(
+                F.lit(name).alias("table_name"),
+                F.col(key).alias("key"),
+                F.lit(m).alias("measure"),
+                F.round(F.col(m).cast("double"), 2).alias("value"),
+            )
+            for m in measures
+        ]
+
+    sessions = spark.read.parquet(paths["session_stats"]).agg(
+        F.lit("session_stats").alias("table_name"),
+        F.lit("all").alias("key"),
+        F.lit("num_events").alias("measure"),
+        F.sum("num_events").cast("double").alias("value"),
+    )
+    found = [
+        *values("revenue_by_category", "top_category", "total_revenue", "num_purchases"),
+        *values("conversion_funnel", "top_category", "view", "cart", "purchase"),
+        *values("top_brands", "brand", "total_revenue"),
+        sessions,
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The malformed lines that the whole job stores."""
+    path = scratch_path(spark, "damaged")
+    write_lines(damaged_lines(spark, sf_dir), path)
+    paths = run(spark, path, scratch_path(spark, "job"), rejects=True)
+    return spark.read.parquet(paths["rejects"]).select("line")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -265,6 +337,7 @@ QUERIES: dict[str, Query] = {
         csv_rejects,
         csv_accepted,
         sample_head,
+        input_discovery,
         validated_scan,
         generate_events,
         schema_report,
@@ -274,6 +347,7 @@ QUERIES: dict[str, Query] = {
         clean_events,
         validated_write,
         result_roundtrip,
+        result_preview,
         ingest_idempotent,
         top_category,
         revenue_by_category,
@@ -295,5 +369,7 @@ QUERIES: dict[str, Query] = {
         session_summary_approx,
         session_sample,
         end_to_end_row_counts,
+        end_to_end_values,
+        job_rejects,
     )
 }

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aislewise import operators as op
+from aislewise import session
 from aislewise.plans import ingest, run
 from aislewise.plans.ingest import MARKER, record_mode
 from aislewise.schema import RAW
@@ -64,7 +65,7 @@ def test_cleaning_reaches_the_scan(spark, stored):
         assert f"IsNotNull({name})" in pushed
 
 
-@pytest.mark.parametrize("name", ["clean_events", "product_rank", "session_stats", "dq_report"])
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_the_plans(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
@@ -134,6 +135,43 @@ def test_shuffles_fit_the_input(spark):
     assert spark.conf.get(key) == before
 
 
+def test_sizes_follow_the_input_unless_given(spark, monkeypatch):
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"]
+    before = [spark.conf.get(k) for k in keys]
+    path = csv_copy(raw_events(spark, SF_DIR))
+    monkeypatch.setattr(session, "_given", lambda spark, key: False)
+    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 100)
+    monkeypatch.setattr(session, "BLOCK_BYTES", 10)
+    monkeypatch.setattr(session, "MOST_SPLITS", 100)
+    total = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    try:
+        size_shuffles(spark, path)
+        assert int(spark.conf.get(keys[0])) == total // 100
+        assert int(spark.conf.get(keys[1])) == 10 * -(-total // 1000)
+        size_shuffles(spark, [path], most=30_000)
+        assert int(spark.conf.get(keys[0])) == 300 and int(spark.conf.get(keys[1])) == 300
+        size_shuffles(spark, path, pattern="*.none")
+        assert int(spark.conf.get(keys[0])) == 200 and int(spark.conf.get(keys[1])) == 10
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.set(key, value)
+
+
+def test_sample_orders_no_more_than_a_bucket_in_a_task(spark, stored):
+    plan = plan_of(op.session_sample(op.session_stats(stored), 1_000_000))
+    assert "TakeOrderedAndProject" not in plan and "Limit" not in plan
+
+
+def test_job_tells_what_it_read(spark):
+    inputs, output = csv_copy(raw_events(spark, SF_DIR)), scratch_path(spark, "job")
+    paths = run(spark, inputs, output, rejects=True)
+    first = spark.read.parquet(paths["ingest_outcome"]).first()
+    assert not first.skipped and first.lines_read == raw_events(spark, SF_DIR).count()
+    assert first.lines_rejected == 0 and spark.read.parquet(paths["rejects"]).isEmpty()
+    again = run(spark, inputs, output, rejects=True)
+    assert spark.read.parquet(again["ingest_outcome"]).first().skipped
+
+
 def test_foreign_int96_times(spark):
     path = scratch_path(spark, "foreign")
     before = spark.conf.get("spark.sql.parquet.outputTimestampType")
