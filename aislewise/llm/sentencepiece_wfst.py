@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,47 @@ UNIGRAM, BPE = 1, 2
 NORMAL, DEFINED, BYTE = 1, 4, 6
 CACHE = 400_000
 INFINITE = float("inf")
+#: Above all piece numbers and code points, so that two states make one number.
+STATES = 1 << 22
+
+
+class Store:
+    """The arcs of a model as a tree of letters, and what a process has worked out with them:
+    paths of words and weights of neighbours.
+
+    A full store of words becomes the older one, from which words met again come back; what
+    isn't met until the next change is gone. So memory is bounded and common words stay.
+    """
+
+    def __init__(self, pieces: dict[str, tuple[int, float]]) -> None:
+        #: Below each letter the next ones; "" has the state of the piece that ends there.
+        self.arcs: dict = {}
+        for piece, (number, _) in pieces.items():
+            node = self.arcs
+            for letter in piece:
+                node = node.setdefault(letter, {})
+            node[""] = number + 1
+        self.paths: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+
+    def make_room(self) -> None:
+        if len(self.paths) >= CACHE:
+            self.older = dict(self.paths)
+            self.paths.clear()
+        if len(self.pairs) >= CACHE:
+            self.pairs.clear()
+
+
+#: The store of the model that this worker process used last, for its further tasks.
+_stores: dict[str, Store] = {}
+
+
+def _store_of(digest: str, pieces: dict[str, tuple[int, float]]) -> Store:
+    if digest not in _stores:
+        _stores.clear()
+        _stores[digest] = Store(pieces)
+    return _stores[digest]
 
 
 @dataclass
@@ -43,23 +86,17 @@ class Transducer:
     unknown: int
     prefix: bool
     squeeze: bool
-    longest: int = 0
     penalty: float = 0.0
     chunks: re.Pattern | None = None
-    cache: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    older: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
-    lengths: dict = field(default_factory=dict)
+    digest: str = ""
+    store: Store = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
-        self.longest = max(map(len, self.pieces), default=1)
-        self.lengths = {}
-        for piece in self.pieces:
-            if len(piece) > 1:
-                self.lengths.setdefault(piece[:2], set()).add(len(piece))
-        self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in self.lengths.items()}
         self.penalty = 10 - min((s for _, s in self.pieces.values()), default=0.0)
         self.values = {i: b for b, i in self.bytes_.items()}
+        whole = repr((self.pieces, self.bytes_, self.kind, self.unknown))
+        self.digest = hashlib.sha256(whole.encode("utf-8", "surrogatepass")).hexdigest()
+        self.store = Store(self.pieces)
         joined = [p for p in self.pieces if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) for p in joined):
             return  # a piece runs on into the next word, so texts are composed whole
@@ -68,7 +105,10 @@ class Transducer:
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}{re.escape(alone)}]+|{stop}{SPACE}+", re.S)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"cache": {}, "older": {}, "pairs": {}}
+        return {k: v for k, v in self.__dict__.items() if k != "store"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state, store=_store_of(state["digest"], state["pieces"]))
 
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -79,31 +119,29 @@ class Transducer:
 
     def encode(self, text: str) -> list[int]:
         """Piece numbers of the whole text."""
-        plain, out = self.normalise(text), []
+        plain = self.normalise(text)
         parts = self.chunks.findall(plain) if self.chunks else [plain]
-        cache = self.cache
-        for part in parts:
-            got = cache.get(part)
-            out += got if got is not None else self._learn(part)
-        return out
+        found = list(map(self.store.paths.get, parts))
+        if None in found:
+            found = [self._learn(p) if f is None else f for p, f in zip(parts, found)]
+        return list(chain.from_iterable(found))
 
     def _learn(self, part: str) -> tuple[int, ...]:
-        """The path of a part that the store lacks.
-
-        A full store becomes the older one, from which parts met again come back; what isn't
-        met until the next change is gone. So memory is bounded and common words stay.
-        """
-        if len(self.cache) >= CACHE:
-            self.older = dict(self.cache)
-            self.cache.clear()
-        if len(self.pairs) >= CACHE:
-            self.pairs.clear()
-        got = self.older.get(part)
+        """The path of a part that the store lacked when its text was looked up."""
+        store = self.store
+        got = store.paths.get(part)
+        if got is not None:
+            return got
+        store.make_room()
+        got = store.older.get(part)
         if got is None:
             path = self._viterbi(part) if self.kind == UNIGRAM else self._compatible(part)
-            got = tuple([i for p in path for i in self._numbers(p)])
+            try:
+                got = tuple([self.pieces[p][0] for p in path])
+            except KeyError:
+                got = tuple([i for p in path for i in self._numbers(p)])
         if len(part) <= 64:
-            self.cache[part] = got
+            store.paths[part] = got
         return got
 
     def _numbers(self, piece: str) -> tuple[int, ...]:
@@ -114,23 +152,30 @@ class Transducer:
             return (self.unknown,)
         return tuple(self.bytes_[b] for b in piece.encode("utf-8", "surrogatepass"))
 
-    def _arcs(self, text: str, at: int) -> Iterator[str]:
-        """Pieces that leave a place, the longest first; a character of no piece is its own arc."""
-        for size in self.lengths.get(text[at : at + 2], ()):
-            piece = text[at : at + size]
-            if len(piece) == size and piece in self.pieces:
-                yield piece
-        yield text[at]
+    def _arcs(self, text: str, at: int) -> list[tuple[int, int]]:
+        """Ends and states of the arcs that leave a place, the longest last; a letter always is one."""
+        node, end, size = self.store.arcs, at, len(text)
+        out = []
+        while end < size:
+            node = node.get(text[end])
+            if node is None:
+                break
+            end += 1
+            if "" in node:
+                out.append((end, node[""]))
+        if not out or out[0][0] > at + 1:
+            out.insert(0, (at + 1, len(self.texts) + 1 + ord(text[at])))
+        return out
 
     def _viterbi(self, text: str) -> list[str]:
         """Least sum of weights; of equal ones the path whose last piece is longest."""
         best = [(0.0, -1)] + [(INFINITE, -1)] * len(text)
         for at in range(len(text)):
-            for piece in self._arcs(text, at):
-                known = self.pieces.get(piece)
+            for end, _ in self._arcs(text, at):
+                known = self.pieces.get(text[at:end])
                 total = best[at][0] + (-known[1] if known else self.penalty)
-                if total < best[at + len(piece)][0]:
-                    best[at + len(piece)] = (total, at)
+                if total < best[end][0]:
+                    best[end] = (total, at)
         path, at = [], len(text)
         while at:
             path.append(text[best[at][1] : at])
@@ -138,41 +183,46 @@ class Transducer:
         return path[::-1]
 
     def _compatible(self, text: str) -> list[str]:
-        """The path of finite weight, by depth first over states (place, last piece).
+        """The path of finite weight, by depth first over states (place, last piece), long arcs first.
 
         A state from which no finite path leads on is entered once.
         """
         path: list[str] = []
         at, size = 0, len(text)
-        choices = [self._arcs(text, 0)] if text else []
+        choices, states = [self._arcs(text, 0)] if text else [], [0]
         failed: set[tuple[int, str]] = set()
-        pairs = self.pairs
+        pairs = self.store.pairs
         while at < size:
-            last = path[-1] if path else ""
-            for piece in choices[-1]:
-                fits = pairs.get((last, piece))
+            arcs, left = choices[-1], states[-1] * STATES
+            while arcs:
+                end, state = arcs.pop()
+                fits = pairs.get(left + state)
+                if fits is False:
+                    continue
+                piece = text[at:end]
                 if fits is None:
-                    fits = self._pair(last, piece)
+                    last = path[-1] if path else ""
+                    fits = pairs[left + state] = self._pair(last, piece)
                 if fits and (not failed or (at, piece) not in failed):
                     path.append(piece)
-                    at += len(piece)
+                    states.append(state)
+                    at = end
                     if at < size:
                         choices.append(self._arcs(text, at))
                     break
             else:
-                choices.pop()
                 if not path:
                     return self._merge(text)  # pieces of one score can leave no path
-                path.pop()
+                choices.pop()
+                states.pop()
+                last = path.pop()
                 at -= len(last)
                 failed.add((at, last))
         return path
 
     def _pair(self, left: str, right: str) -> bool:
         """Whether merging gives two neighbours back; with nothing to the left, the one piece."""
-        fits = self._merge(left + right) == ([left, right] if left else [right])
-        self.pairs[left, right] = fits
-        return fits
+        return self._merge(left + right) == ([left, right] if left else [right])
 
     def _merge(self, text: str) -> list[str]:
         """Byte-pair merging: again and again the neighbours whose joined piece scores best, leftmost first."""
@@ -191,8 +241,8 @@ class Transducer:
     def decode(self, ids: list[int]) -> str:
         """The text of piece numbers; bytes are joined, those that are no UTF-8 become U+FFFD."""
         texts, values = self.texts, self.values
-        if not any(i in values for i in set(ids)):
-            text = "".join([texts[i] for i in ids])
+        if values.keys().isdisjoint(ids):
+            text = "".join(map(texts.__getitem__, ids))
         else:
             out, run = [], bytearray()
             for i in ids:
@@ -243,7 +293,8 @@ def encode_documents(
     `round_trip` says whether decoding gives the text back; it can't where the text itself has
     the space mark, or spaces that the normaliser drops. Null and empty texts have no tokens and do round-trip.
     Equal texts give equal tokens. Empty tables give no rows; other columns are not read. The
-    compiled machine goes to the tasks: its size is that of the vocabulary.
+    compiled machine goes to the tasks: its size is that of the vocabulary. A worker process keeps
+    the paths of words for its further tasks, in a store of bounded size.
     """
     bounded_batches(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
