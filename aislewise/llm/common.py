@@ -74,17 +74,21 @@ def hashed_sample(
     """About `size` distinct rows of each stratum, the same ones on every run.
 
     Rows are taken by the hash of their `key` columns under a threshold that
-    follows from the number of rows, and rows of equal key count once, so many
-    copies of one row can't enlarge the sample.
+    follows from the number of distinct keys, and rows of equal key count once, so many
+    copies of one row can neither enlarge nor thin out the sample. No stratum is left empty.
     """
-    mark = F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(1 << 30))
-    counts = rows.groupBy(*strata).count().collect()
+    hashed = F.xxhash64(*[F.col(c) for c in key])
+    mark = F.pmod(hashed, F.lit(1 << 30))
+    keys = rows.select(*strata, hashed.alias("hashed")).distinct()
+    least = F.min(F.pmod("hashed", F.lit(1 << 30)))
+    counts = keys.groupBy(*strata).agg(F.count("*").alias("count"), least.alias("least")).collect()
     share = F.lit(0)
     for row in counts:
         here = F.lit(True)
         for c in strata:
             here = here & F.col(c).eqNullSafe(F.lit(row[c]))
         bound = min(1 << 30, -(-size * (1 << 30) // max(1, row["count"])))
+        bound = max(bound, (row["least"] or 0) + 1)
         share = F.when(here, F.lit(bound)).otherwise(share)
     others = [c for c in rows.columns if c not in key]
     drawn = rows.where(mark < share)

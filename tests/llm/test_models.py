@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from aislewise.llm import tokens
-from aislewise.llm.common import read_table
+from aislewise.llm.common import hashed_sample, read_table
 from aislewise.llm.decontaminate import LeakRule, drop_leaks, find_leaks
 from aislewise.llm.gru_lm import GruSettings, log_likelihoods, new_gru, score_documents, score_texts, _step
 from aislewise.llm.html_extract import extract_text, main_text, parse
@@ -98,6 +98,17 @@ def test_languages(spark):
     assert train_languages(docs.limit(0)) is None
 
 
+def test_copies_leave_the_sample_its_distinct_rows(spark):
+    copies = spark.range(200_000).selectExpr("'uno dos' as text", "'es' as lang")
+    others = spark.range(1000).selectExpr("concat('tres ', id) as text", "'es' as lang")
+    few = spark.createDataFrame([("one", "en"), (None, None)], "text string, lang string")
+    rows = hashed_sample(copies.union(others).union(few), 400, ["text"], ["lang"]).collect()
+    assert 300 < sum(r.lang == "es" for r in rows) < 500 and len(rows) == len(set(rows))
+    assert {r.lang for r in rows} == {"es", "en", None}
+    assert hashed_sample(others.select("text"), 1, ["text"]).count() >= 1
+    assert hashed_sample(others.limit(0), 5, ["text"], ["lang"]).count() == 0
+
+
 def test_subsequence_kernel_by_brute_force():
     s = ToxicitySettings()
     strings = ["idiot", "idixot", "banana", "toidi"]
