@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import bounded_batches
+from aislewise.llm.common import bounded_batches, stage
 from aislewise.llm.url_rules import split_url
 
 #: Fixed values of HTML: elements without content, with raw text, and that begin a block.
@@ -55,7 +55,8 @@ NOISE_WORDS = frozenset(
     "promoted promotion recommended related replies reply respond share sharing sidebar signup skip "
     "social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
-MAIN = frozenset("article main".split())
+#: What states an element as content; an article is in doubt if a class word is on it or above it.
+PLAIN, IN_MAIN, DOUBTED, ARTICLE = range(4)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -71,10 +72,12 @@ ATTRIBUTE = re.compile(
 @dataclass(frozen=True)
 class TreeSettings:
     """A node is noise if at least `pages` different pages of its host have it and both its
-    entropies are below `least`, in shares of the greatest possible."""
+    entropies are below `least`, in shares of the greatest possible. Of a noise node those contents
+    go that `pages` pages and a share `common` of the node's pages have."""
 
     pages: int = 5
     least: float = 0.2
+    common: float = 0.01
 
 
 @dataclass
@@ -82,15 +85,21 @@ class _Open:
     tag: str
     key: int
     noise: bool
-    main: bool
+    word: bool
+    loose: bool
+    main: int
     head: bool
 
 
 @dataclass
 class Page:
-    """Blocks of text in page order, and per style-tree node its children and texts."""
+    """Blocks of text in page order, and per style-tree node its parent, children and texts.
 
-    blocks: list[tuple[int, bool, bool, str]] = field(default_factory=list)
+    A block has its node, whether a class word makes it noise, and what states it as content.
+    """
+
+    blocks: list[tuple[int, bool, int, str]] = field(default_factory=list)
+    parents: dict[int, int] = field(default_factory=dict)
     styles: dict[int, list[str]] = field(default_factory=dict)
     texts: dict[int, list[str]] = field(default_factory=dict)
 
@@ -108,8 +117,8 @@ def _value(parts: list[str]) -> int:
 
 
 @lru_cache(maxsize=20_000)
-def _presentation(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """Name of the node, whether its presentation is noise, and whether it holds main text."""
+def _presentation(tag: str, attributes: str) -> tuple[str, bool, bool, int]:
+    """Name of the node, whether it is noise, whether a class word says so, and what it states."""
     given = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)} if attributes else {}
     words = re.split(r"[^a-z0-9]+", f"{given.get('class', '')} {given.get('id', '')}".lower())
     roles = set(given.get("role", "").lower().split())
@@ -118,12 +127,15 @@ def _presentation(tag: str, attributes: str) -> tuple[str, bool, bool]:
         or given.get("aria-hidden", "").lower() == "true"
         or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I)
     )
-    noise = bool(
-        tag in NOISE or roles & NOISE_ROLES or (NOISE_WORDS & set(words) and tag not in ("html", "body")) or hidden
-    )
-    main = tag in MAIN or "main" in roles or given.get("itemprop", "").lower() == "articlebody"
+    named = bool(NOISE_WORDS & set(words)) and tag not in ("html", "body")
+    noise, word = bool(tag in NOISE or roles & NOISE_ROLES or hidden or named), False
+    main = PLAIN
+    if tag == "main" or "main" in roles:
+        main = IN_MAIN
+    elif tag == "article" or given.get("itemprop", "").lower() == "articlebody":
+        main = DOUBTED if word else ARTICLE
     name = tag + "".join(f".{w}" for w in sorted(set(words)) if w and not w.isdigit())
-    return name, noise, main and not noise
+    return name, noise, word, PLAIN if noise else main
 
 
 def parse(source: str) -> Page:
@@ -133,7 +145,7 @@ def parse(source: str) -> Page:
     open ends with the page. Any text is a page.
     """
     page, text = Page(), []
-    stack = [_Open("", 0, False, False, False)]
+    stack = [_Open("", 0, False, False, False, PLAIN, False)]
     low: str | None = None
 
     def flush() -> None:
@@ -144,7 +156,7 @@ def parse(source: str) -> Page:
         top = next(x for x in reversed(stack) if x.tag in BLOCK or not x.tag)
         if joined:
             page.texts.setdefault(top.key, []).append(joined)
-            page.blocks.append((top.key, top.noise, top.main, joined))
+            page.blocks.append((top.key, top.word, top.main, joined))
 
     def close(at: int) -> None:
         if any(x.tag in BLOCK for x in stack[at:]):
@@ -164,11 +176,11 @@ def parse(source: str) -> Page:
         token = TOKEN.search(source, at)
         if token is None:
             break
-        if token.start() > at and not stack[-1].noise:
+        if token.start() > at and not (stack[-1].noise or stack[-1].loose):
             text.append(source[at : token.start()])
         at = token.end()
         if token.group(2) is None:
-            if token.group().startswith("<![CDATA[") and not stack[-1].noise:
+            if token.group().startswith("<![CDATA[") and not (stack[-1].noise or stack[-1].loose):
                 text.append(html.escape(token.group()[9:].removesuffix("]]>")))
             continue
         tag = token.group(2).lower()
@@ -191,7 +203,7 @@ def parse(source: str) -> Page:
                 end_open(set(HEADINGS), HOLDERS)
             flush()
         above = stack[-1]
-        name, noise, main = _presentation(tag, token.group(3).strip())
+        name, noise, word, main = _presentation(tag, token.group(3).strip())
         if tag == "header":
             # The page's header goes; an article's may hold its headings.
             noise = noise or not above.main
@@ -199,6 +211,7 @@ def parse(source: str) -> Page:
         key = _node(above.key, name)
         page.styles.setdefault(above.key, []).append(name)
         page.styles.setdefault(key, [])
+        page.parents[key] = above.key
         if tag in RAW:
             low = source.lower() if low is None else low
             end = low.find(f"</{tag}", at)
@@ -208,32 +221,90 @@ def parse(source: str) -> Page:
             stop = source.find(">", end) if end >= 0 else -1
             at = stop + 1 if stop >= 0 else len(source)
             continue
-        head = tag == "header" and above.main and not noise
+        head = tag == "header" and above.main > PLAIN and not noise
+        word = word or above.word
+        if main and above.main < DOUBTED:
+            # A class word of a wrapper, such as "has-sidebar", says nothing of an article below it.
+            main = DOUBTED if main == ARTICLE and word else main
+            word = False
         stack.append(
             _Open(
                 tag,
                 key,
                 above.noise or noise or (above.head and not kept and tag in BLOCK),
-                main or above.main,
+                word,
+                # Inline elements under a class word are no block of their own.
+                tag not in BLOCK and (above.loose or word and not above.word),
+                max(main, above.main) if above.main < DOUBTED else DOUBTED if main == DOUBTED else above.main,
                 head or (above.head and not kept),
             )
         )
-    if not stack[-1].noise:
+    if not (stack[-1].noise or stack[-1].loose):
         text.append(source[at:])
     flush()
     return page
 
 
+def _contents(page: Page) -> tuple[dict[int, int], dict[int, int]]:
+    """Values of the texts of each node, and of all that the branch below it holds.
+
+    A branch has a value where it holds text in more than its own node.
+    """
+    own = {key: _value([str(key), *texts]) for key, texts in page.texts.items()}
+    below: dict[int, list[str]] = {}
+    branches: dict[int, int] = {}
+    # Parents were met before their children.
+    for key in reversed(page.styles):
+        parts = below.pop(key, [])
+        if parts:
+            branches[key] = value = _value([f"{key}/", *page.texts.get(key, []), *sorted(parts)])
+        elif key in own:
+            value = own[key]
+        else:
+            continue
+        if key in page.parents:
+            below.setdefault(page.parents[key], []).append(str(value))
+    return own, branches
+
+
 def main_text(page: Page, low: frozenset[int]) -> str:
-    """Blocks that neither presentation nor the site's style tree makes noise.
+    """The page's blocks without those that the site's style tree makes noise (contents `low`).
 
-    Where a page has an article or main element, its blocks only; low importance can
-    take out branches of the rest, as such an element states what the content is.
+    Tags and class words are a prior on what the tree leaves: where a page has an article or
+    main element its blocks come first, other text joins them if there is more of it, and
+    text that a class word calls noise joins where nothing is stated and it is the larger part.
+    Where nothing outweighs the stated content, but all of it is low, it stays.
     """
-    stated = any(main and not noise for _, noise, main, _ in page.blocks)
-    if stated:
-        return "\n".join(t for _, noise, main, t in page.blocks if main and not noise)
-    return "\n".join(t for key, noise, _, t in page.blocks if not noise and key not in low)
+    noise: set[int] = set()
+    if low:
+        own, branches = _contents(page)
+        gone = set()
+        for key in page.styles:
+            if page.parents.get(key) in gone or branches.get(key) in low:
+                gone.add(key)
+        noise = gone | {key for key, value in own.items() if value in low}
+    sure = any(main == ARTICLE and not word for _, word, main, _ in page.blocks)
+    sizes, whole = [0, 0, 0], 0
+    ranks = []
+    for key, word, main, text in page.blocks:
+        # 0 stated, 1 other text, 2 noise by a class word
+        rank = 2 if word else 0 if main and not (sure and main == DOUBTED) else 1
+        ranks.append(rank)
+        if rank == 0:
+            whole += len(text)
+        if key not in noise:
+            sizes[rank] += len(text)
+    stated, other, named = sizes
+    if whole and not stated and other <= whole:
+        return "\n".join(t for rank, (*_, t) in zip(ranks, page.blocks) if rank == 0)
+    taken = {0}
+    if other > stated:
+        taken.add(1)
+    if not whole and named > other:
+        taken.add(2)
+    return "\n".join(
+        t for rank, (key, _, _, t) in zip(ranks, page.blocks) if rank in taken and key not in noise
+    )
 
 
 _TREE_SHAPE = "host string, page long, node long, style long, content long"
@@ -244,10 +315,11 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for host, source in zip(*(batch.column(c).to_pylist() for c in ("host", "html"))):
             page, of_page = parse(source), _value([source])
-            # Nodes that are noise by presentation alone need no entropy.
-            for key in {key for key, noise, _, _ in page.blocks if not noise}:
-                style, content = page.styles.get(key, []), page.texts[key]
-                rows.append((host, of_page, key, _value(style), _value(content)))
+            own, branches = _contents(page)
+            for key, content in own.items():
+                rows.append((host, of_page, key, _value(page.styles.get(key, [])), content))
+            for key, content in branches.items():
+                rows.append((host, of_page, _node(key, "/"), _value(page.styles[key]), content))
         columns = list(zip(*rows)) or [()] * 5
         kinds = [pa.string(), *[pa.int64()] * 4]
         yield pa.record_batch(
@@ -256,13 +328,15 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def low_nodes(pages: DataFrame, settings: TreeSettings = TreeSettings()) -> DataFrame:
-    """The site style tree's noise: nodes (host, node) of low importance, from pages (host, html).
+def low_contents(pages: DataFrame, settings: TreeSettings = TreeSettings()) -> DataFrame:
+    """The site style tree's noise: contents (host, value) of nodes and branches of low importance.
 
     All pages of a host are merged: elements of the same tag and class below the same node are one
     node. For each node with text two entropies are taken over the host's pages that have
     it, of its child sequences (presentation) and of its texts (content), as shares of the
     logarithm of the number of those pages. What a site repeats has low ones. Equal pages count once.
+    A branch, all that an element holds, has an importance of its own. Of what is low, the contents
+    that pages share are noise; a page with its own text there keeps it.
     """
     rows = pages.select("host", "html").mapInArrow(_tree_rows, _TREE_SHAPE).distinct()
     long_ = rows.select(
@@ -276,6 +350,7 @@ def low_nodes(pages: DataFrame, settings: TreeSettings = TreeSettings()) -> Data
         ).alias("x"),
     )
     counts = long_.groupBy("host", "node", "x.kind", "x.value").agg(F.count("*").alias("n"))
+    counts = stage(counts, "style-tree")
     n, m = F.col("n"), F.sum("n")
     importance = counts.groupBy("host", "node", "kind").agg(
         m.alias("pages"),
@@ -287,7 +362,9 @@ def low_nodes(pages: DataFrame, settings: TreeSettings = TreeSettings()) -> Data
         F.max("pages").alias("pages"), F.max(entropy).alias("importance")
     )
     low = (F.col("pages") >= settings.pages) & (F.col("importance") < settings.least)
-    return whole.where(low).select("host", "node")
+    shared = counts.where((F.col("kind") == 1) & (F.col("n") >= settings.pages))
+    found = shared.join(whole.where(low), ["host", "node"])
+    return found.where(F.col("n") >= settings.common * F.col("pages")).select("host", "value")
 
 
 def extract_text(pages: DataFrame, settings: TreeSettings = TreeSettings()) -> DataFrame:
@@ -306,13 +383,13 @@ def extract_text(pages: DataFrame, settings: TreeSettings = TreeSettings()) -> D
         split_url(F.col("url"))[0].alias("host"),
         F.coalesce("html", F.lit("")).alias("html"),
     )
-    low = low_nodes(narrow, settings).groupBy("host").agg(F.collect_set("node").alias("low"))
+    low = low_contents(narrow, settings).groupBy("host").agg(F.collect_set("value").alias("low"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                main_text(parse(source), frozenset(nodes or ()))
-                for source, nodes in zip(*(batch.column(c).to_pylist() for c in ("html", "low")))
+                main_text(parse(source), frozenset(values or ()))
+                for source, values in zip(*(batch.column(c).to_pylist() for c in ("html", "low")))
             ]
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())]
             columns.append(pa.array([len(t) for t in texts], pa.int64()))

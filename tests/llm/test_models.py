@@ -195,3 +195,25 @@ def test_html_keeps_the_article(spark):
     found = extract_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
     rows = {r.page_id: (r.text, r.n_chars) for r in found.collect()}
     assert rows[3] == ("new 3", 5) and rows[90] == rows[91] == ("", 0) and rows[92] == ("only one", 8)
+
+
+def test_html_tree_decides_inside_articles_too(spark):
+    page = "<article><p>Story {0} {0}.</p><div class=x{0}><p>Read our terms.</p></div></article><div><p>{1}</div>"
+    pages = [(k, f"http://h/{k}", page.format(k, "etc")) for k in range(20)]
+    same = "<article><p>all the same</article><p>{}"
+    pages += [(50 + k, f"http://i/{k}", same.format(k)) for k in range(40)]
+    pages += [(100, "http://i/x", "<article><p>its own text</article>")]
+    pages += [(200 + k, f"http://j/{k}", f"<article>card</article><div>The body, text {k}.</div>") for k in range(9)]
+    box = "<article><p>Story {0}.</p><div><p>Read our terms.</p></div></article>"
+    pages += [(300 + k, f"http://k/{k}", box.format(k)) for k in range(20)]
+    menu = "<div><ul><li>Menu</ul><p>Tips</div>"
+    pages += [(400 + k, f"http://l/{k}", f"<article>{menu}<p>News {k}</article>") for k in range(20)]
+    found = extract_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    text = {r.page_id: r.text for r in found.collect()}
+    assert all(text[300 + k] == f"Story {k}." and text[400 + k] == f"News {k}" for k in range(20))
+    assert text[3].startswith("Story 3 3.") and "etc" not in text[3]
+    # Stated content that all pages of a site share stays, and so does a page's own.
+    assert text[60] == "all the same" and text[100] == "its own text"
+    # The card is on all pages, the body is not.
+    assert all(text[200 + k] == f"The body, text {k}." for k in range(9))
+    assert main_text(parse("<article>card</article><div>a longer body"), frozenset()) == "card\na longer body"
