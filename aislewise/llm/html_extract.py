@@ -127,8 +127,8 @@ def _presentation(tag: str, attributes: str) -> tuple[str, bool, bool, int]:
         or given.get("aria-hidden", "").lower() == "true"
         or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I)
     )
-    named = bool(NOISE_WORDS & set(words)) and tag not in ("html", "body")
-    noise, word = bool(tag in NOISE or roles & NOISE_ROLES or hidden or named), False
+    noise = bool(tag in NOISE or roles & NOISE_ROLES or hidden)
+    word = bool(NOISE_WORDS & set(words)) and tag not in ("html", "body")
     main = PLAIN
     if tag == "main" or "main" in roles:
         main = IN_MAIN

@@ -217,3 +217,20 @@ def test_html_tree_decides_inside_articles_too(spark):
     # The card is on all pages, the body is not.
     assert all(text[200 + k] == f"The body, text {k}." for k in range(9))
     assert main_text(parse("<article>card</article><div>a longer body"), frozenset()) == "card\na longer body"
+
+
+def test_class_words_of_wrappers_leave_the_article(spark):
+    text = lambda source: main_text(parse(source), frozenset())
+    assert text("<div class='layout has-sidebar'><article><p>A<p>B</article></div>") == "A\nB"
+    assert text("<main class='no-comments'><h1>T</h1><p>A</main>") == "T\nA"
+    assert text("<div id='page-menu-left'><article class='post share-enabled'>A</article></div>") == "A"
+    assert text("<article>post</article><section id=comments><article class=comment>no</article></section>") == "post"
+    assert text("<article>post <span class=share>no</span><div class=ad>no ad</div></article>") == "post"
+    assert text("<div class=ad>buy</div><p>the text") == "the text"
+    # Without article, what varies over the host's pages overrules the word; what is repeated does not.
+    page = "<div class='layout has-sidebar'><p>Long story of page {0}.</p><div><i>Same.</i></div></div><p>T {0}"
+    pages = [(k, f"http://h/{k}", page.format(k)) for k in range(20)]
+    found = extract_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in found.collect()} == {
+        k: f"Long story of page {k}.\nT {k}" for k in range(20)
+    }
