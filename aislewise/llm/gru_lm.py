@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,10 @@ class GruSettings:
 
     The model's own vocabulary is the end, the `words` most frequent words and `clusters` of
     all other words by their first two bytes. `classes` factor the softmax. `head` words have
-    their counts sent to the tasks, others are counted by a join. Training takes about `sample`
-    tokens, in stretches of at most `stretch`, by `streams` side by side and `window` steps back.
+    their counts sent to the tasks, others are counted by a join. Training starts on the driver with
+    about `sample` tokens, in stretches of at most `stretch`, by `streams` side by side and `window`
+    steps back. Then all tokens are learned in `rounds`: each task trains on its texts, whole, by
+    `wide` streams, and the weights are averaged.
     """
 
     words: int = 1500
@@ -40,6 +43,8 @@ class GruSettings:
     sample: int = 500_000
     stretch: int = 2000
     streams: int = 64
+    rounds: int = 1
+    wide: int = 256
     window: int = 24
     epochs: int = 2
     rate: float = 0.08
@@ -99,6 +104,11 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    e = np.exp(x - x.max(-1, keepdims=True))
+    return e / e.sum(-1, keepdims=True)
+
+
 def log_likelihoods(gru: Gru, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target after its state: of its class, then within it."""
     per = gru.per_class
@@ -146,32 +156,40 @@ def score_texts(gru: Gru, texts: list[np.ndarray], window: int = 64) -> np.ndarr
     return out
 
 
-def train_gru(texts: list[np.ndarray], size: int, s: GruSettings) -> Gru:
-    """Truncated backpropagation through time with Adagrad on streams of texts laid end to end."""
+def train_gru(texts: list[np.ndarray], size: int, s: GruSettings) -> tuple[Gru, dict]:
+    """Truncated backpropagation through time with Adagrad on streams of texts laid end to end.
+
+    Returns the weights and the sums of squared gradients.
+    """
     gru = new_gru(size, s)
-    if not texts:
-        return gru
-    rng = np.random.default_rng(s.seed)
     squares = {k: np.full_like(v, 1e-3) for k, v in vars(gru).items()}
-    for epoch in range(s.epochs):
+    rng = np.random.default_rng(s.seed)
+    for epoch in range(s.epochs if texts else 0):
         flat = np.concatenate([texts[k] for k in rng.permutation(len(texts))])
-        streams = min(s.streams, len(flat))
-        flat = flat[: len(flat) // streams * streams].reshape(streams, -1)
-        h = np.zeros((streams, s.hidden), np.float32)
-        for at in range(0, flat.shape[1], s.window):
-            target = flat[:, at : at + s.window]
-            read = flat[:, at - 1 : at - 1 + target.shape[1]] if at else np.concatenate(
-                [np.zeros((streams, 1), flat.dtype), target[:, :-1]], 1
-            )
-            h, grads = _gradients(gru, read, target, h)
-            total = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-            scale = min(1.0, 5.0 / (total + 1e-9))
-            for k, g in grads.items():
-                g *= scale
-                squares[k] += g * g
-                vars(gru)[k] -= (s.rate / (1 + epoch)) * g / np.sqrt(squares[k])
-    gru.word_bias.reshape(-1)[size:] = -1e9
-    return gru
+        _learn(gru, squares, flat, s.streams, s.rate / (1 + epoch), s)
+    return gru, squares
+
+
+def _learn(
+    gru: Gru, squares: dict, flat: np.ndarray, streams: int, rate: float, s: GruSettings
+) -> None:
+    """One pass over texts laid end to end, changing the weights in place. No token is left out:
+    the last stream is filled with ends."""
+    streams = min(streams, len(flat))
+    flat = np.append(flat, np.zeros(-len(flat) % streams, flat.dtype)).reshape(streams, -1)
+    h = np.zeros((streams, s.hidden), np.float32)
+    for at in range(0, flat.shape[1], s.window):
+        target = flat[:, at : at + s.window]
+        read = flat[:, at - 1 : at - 1 + target.shape[1]] if at else np.concatenate(
+            [np.zeros((streams, 1), flat.dtype), target[:, :-1]], 1
+        )
+        h, grads = _gradients(gru, read, target, h)
+        total = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        scale = min(1.0, 5.0 / (total + 1e-9))
+        for k, g in grads.items():
+            g *= scale
+            squares[k] += g * g
+            vars(gru)[k] -= rate * g / np.sqrt(squares[k])
 
 
 def _gradients(
@@ -189,6 +207,7 @@ def _gradients(
     grads = {k: np.zeros_like(v) for k, v in vars(gru).items()}
     down = _output_gradients(gru, states, target.reshape(-1), grads).reshape(h.shape[0], steps, n)
     later = np.zeros_like(h)
+    gates = np.empty((steps, h.shape[0], 3 * n), np.float32)
     for t in reversed(range(steps)):
         before, fresh, z, r, c, b, _ = kept[t]
         d = down[:, t] + later
@@ -197,9 +216,13 @@ def _gradients(
         dr = dc * b * r * (1 - r)
         at_gates = np.concatenate([dz, dr, dc], 1)
         at_back = np.concatenate([dz, dr, dc * r], 1)
-        np.add.at(grads["gates"], read[:, t], at_gates)
+        gates[t] = at_gates
         grads["back"] += before.T @ at_back
         later = (d * z + at_back @ gru.back.T) * fresh
+    tokens_read = read.T.reshape(-1)
+    order = np.argsort(tokens_read, kind="stable")
+    found, first = np.unique(tokens_read[order], return_index=True)
+    grads["gates"][found] += np.add.reduceat(gates.reshape(-1, 3 * n)[order], first)
     return h, grads
 
 
@@ -209,21 +232,26 @@ def _output_gradients(
     """Fills the gradients of both softmax layers; returns that of the states."""
     per, size = gru.per_class, np.float32(len(targets))
     classes = targets // per
-    wrong = np.exp(_log_softmax(states @ gru.to_class + gru.class_bias))
+    order = np.argsort(classes, kind="stable")
+    states, classes, within = states[order], classes[order], (targets % per)[order]
+    wrong = _softmax(states @ gru.to_class + gru.class_bias)
     wrong[np.arange(len(targets)), classes] -= 1
     wrong /= size
     grads["to_class"] += states.T @ wrong
     grads["class_bias"] += wrong.sum(0)
     down = wrong @ gru.to_class.T
-    for c in np.unique(classes):
-        rows = np.flatnonzero(classes == c)
-        part = np.exp(_log_softmax(states[rows] @ gru.to_word[c] + gru.word_bias[c]))
-        part[np.arange(len(rows)), targets[rows] - c * per] -= 1
+    cuts = np.searchsorted(classes, np.arange(len(gru.word_bias) + 1))
+    for c in np.flatnonzero(np.diff(cuts)):
+        rows = slice(cuts[c], cuts[c + 1])
+        part = _softmax(states[rows] @ gru.to_word[c] + gru.word_bias[c])
+        part[np.arange(len(part)), within[rows]] -= 1
         part /= size
         grads["to_word"][c] += states[rows].T @ part
         grads["word_bias"][c] += part.sum(0)
         down[rows] += part @ gru.to_word[c].T
-    return down
+    out = np.empty_like(down)
+    out[order] = down
+    return out
 
 
 class _Words:
@@ -326,10 +354,64 @@ def train_model(docs: DataFrame, counts: DataFrame, s: GruSettings) -> LanguageM
 
     rows = drawn.mapInArrow(run, "ids array<int>").toArrow()["ids"]
     sample = sorted((x.values.to_numpy().astype(np.int64) for x in rows), key=lambda x: x.tobytes())
-    gru = train_gru(sample, own + s.clusters, s)
+    gru, squares = train_gru(sample, own + s.clusters, s)
+    for _ in range(s.rounds):
+        gru = _round(docs, blank, index, gru, squares)
     return LanguageModel(head, number, own, blank.mass, total, distinct, gru, s)
 
 
+def _round(
+    docs: DataFrame, blank: LanguageModel, index: tokens.HashIndex, gru: Gru, squares: dict
+) -> Gru:
+    """The mean of the weights that tasks get from `gru` by learning all their texts, by tokens.
+
+    The tasks' weights are stored and added up by tasks, so the driver gets a few rows however many
+    tasks there were.
+    """
+    s = blank.settings
+    names = list(vars(gru))
+    shapes = [vars(gru)[k].shape for k in names]
+    light = replace(blank, head=blank.head[:0], counts=blank.counts[:0], gru=None)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = Gru(*[vars(gru)[k].copy() for k in names])
+        sums = {k: v.copy() for k, v in squares.items()}
+        held, size, seen = [], 0, 0
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None and batch.num_rows:
+                words = _Words(batch.column("text"), s.clusters)
+                numbers = _own_numbers(words, index.find(words.hashes), light)
+                # An end after each text; the places are those before the insertion.
+                held.append(np.insert(numbers, words.first[1:], 0).astype(np.int32))
+                size += len(held[-1])
+            if size >= s.buffer or (batch is None and size):
+                # Fewer streams make more steps of a small part.
+                streams = min(s.wide, max(16, size // (256 * s.window)))
+                _learn(mine, sums, np.concatenate(held), streams, s.rate / (1 + s.epochs), s)
+                held, size, seen = [], 0, seen + size
+        if seen:
+            flat = np.concatenate([vars(mine)[k].reshape(-1) for k in names]).astype(np.float64) * seen
+            yield pa.record_batch([pa.array([seen]), pa.array([flat.tobytes()])], names=["n", "w"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0, None
+        for batch in batches:
+            for seen, flat in zip(*(c.to_pylist() for c in batch.columns)):
+                flat = np.frombuffer(flat)
+                n, total = n + seen, flat if total is None else total + flat
+        if n:
+            yield pa.record_batch([pa.array([n]), pa.array([total.tobytes()])], names=["n", "w"])
+
+    shape = "n long, w binary"
+    trained = stage(docs.select("text").where("text is not null").mapInArrow(learn, shape), "weights")
+    few = trained.mapInArrow(add, shape).repartition(4).mapInArrow(add, shape).collect()
+    if not few:
+        return gru
+    mean = sum(np.frombuffer(r.w) for r in few) / sum(r.n for r in few)
+    cuts = np.cumsum([math.prod(x) for x in shapes])[:-1]
+    return Gru(*[v.astype(np.float32).reshape(x) for v, x in zip(np.split(mean, cuts), shapes)])
+
+
 def _frequent(counts: DataFrame, most: int) -> pa.Table:
     """The most frequent words (word, cluster, n), at most `most`, the first the most frequent.
 

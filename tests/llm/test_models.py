@@ -10,7 +10,7 @@ import pyarrow as pa
 from aislewise.llm import tokens
 from aislewise.llm.common import hashed_sample, read_table
 from aislewise.llm.decontaminate import LeakRule, drop_leaks, find_leaks
-from aislewise.llm.gru_lm import GruSettings, log_likelihoods, new_gru, score_documents, score_texts, _step
+from aislewise.llm.gru_lm import GruSettings, log_likelihoods, new_gru, score_documents, score_texts, _gradients, _step
 from aislewise.llm.html_extract import extract_text, main_text, parse
 from aislewise.llm.language_id import identify_languages, train_languages
 from aislewise.llm.ngram_join import JoinRule, component_of_documents, drop_near_duplicates
@@ -234,3 +234,47 @@ def test_class_words_of_wrappers_leave_the_article(spark):
     assert {r.page_id: r.text for r in found.collect()} == {
         k: f"Long story of page {k}.\nT {k}" for k in range(20)
     }
+
+
+def test_lm_learns_from_all_texts(spark):
+    # The start's sample is a stretch of one text; most word pairs are met outside it.
+    rnd = random.Random(4)
+    rows = []
+    for k in range(300):
+        cycle = [f"w{k % 10}x{i}" for i in range(5)]
+        at = rnd.randrange(5)
+        rows.append((k, " ".join(cycle[(at + i) % 5] for i in range(700))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    s = GruSettings(sample=100, stretch=50, rate=0.2)
+    for r in score_documents(docs.limit(40), docs, s).collect():
+        assert r.score > 0.6 * r.base_score
+
+
+def test_gru_gradients_by_differences():
+    s = GruSettings(classes=3, hidden=4)
+    rnd = np.random.default_rng(0)
+    read, target = rnd.integers(0, 8, (2, 5, 6))
+    h = np.zeros((5, 4), np.float32)
+
+    def loss(gru):
+        state, total = h, 0.0
+        for t in range(read.shape[1]):
+            state = _step(gru, read[:, t], state * (read[:, t] != 0)[:, None])[0]
+            total -= log_likelihoods(gru, state, target[:, t]).sum()
+        return total / target.size
+
+    gru = new_gru(8, s)
+    for k, v in vars(gru).items():
+        vars(gru)[k] = v.astype(np.float64)
+    _, grads = _gradients(gru, read, target, h)
+    for k, g in grads.items():
+        v = vars(gru)[k].reshape(-1)
+        for at in rnd.choice(v.size, min(v.size, 8), replace=False):
+            if v[at] < -1e8:
+                continue
+            v[at] += 1e-5
+            up = loss(gru)
+            v[at] -= 2e-5
+            down = loss(gru)
+            v[at] += 1e-5
+            assert abs((up - down) / 2e-5 - g.reshape(-1)[at]) < 1e-4
