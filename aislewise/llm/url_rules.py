@@ -70,13 +70,12 @@ def mine_rules(
     min_support: float = 0.005,
     min_confidence: float = 0.8,
     min_lift: float = 1.5,
-    max_tokens: int = 3,
 ) -> DataFrame:
     """Token combinations that predict a bad url, as rows (rule, token, tokens, confidence).
 
     `labelled` has `tokens` (array) and `bad` (boolean). FP-growth finds the frequent
-    combinations; kept are rules "combination => bad" of enough confidence and lift and at
-    most `max_tokens` tokens, none of them a superset of a kept rule that is as confident.
+    combinations; kept are rules "combination => bad" of enough confidence and lift, whatever
+    their size, none of them a superset of a kept rule that is as confident.
     No labelled rows give no rules.
     """
     items = F.when(F.col("bad"), F.array_append("tokens", BAD)).otherwise(F.col("tokens"))
@@ -85,7 +84,6 @@ def mine_rules(
     )
     found = model.associationRules.where(
         F.array_contains("consequent", BAD)
-        & (F.size("antecedent") <= max_tokens)
         & (F.col("lift") >= min_lift)
     ).select(F.array_sort("antecedent").alias("combo"), "confidence", "support")
     found = stage(found, "url-rules")

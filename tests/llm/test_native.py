@@ -69,3 +69,14 @@ def test_urls_by_given_and_mined_rules(spark):
     assert (rows[902].host, rows[902].rule, rows[902].verdict) == ("a.example.org", "example.org/en/1", "block")
     none = judge_urls(pages, labels.limit(0), rules)
     assert none.count() == 264 and none.where("verdict = 'block'").count() == 2
+
+
+def test_urls_that_only_four_tokens_tell_apart(spark):
+    paths = {"a/b/c": "shop", "a/b/x": "shop", "a/x/c": "shop", "x/b/c": "shop", "a/b/c/": "news"}
+    bad = [(k, f"http://shop.net/a/b/c?k={k}") for k in range(30)]
+    good = [(100 * j + k, f"http://{host}.net/{p}?k={k}") for j, (p, host) in enumerate(paths.items(), 1)
+            if j > 1 for k in range(30)]
+    pages = spark.createDataFrame(bad + good, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in bad + good], "doc_id long, quality int")
+    for r in judge_urls(pages, labels, []).collect():
+        assert r.verdict == ("block" if r.page_id < 100 else "allow")
