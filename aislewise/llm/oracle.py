@@ -104,4 +104,52 @@ SELECT doc_id, len(grams.g)::BIGINT AS n_shingles,
 FROM grams LEFT JOIN of_set ON list_sort(grams.g) = of_set.g
 """
 
-SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_ngram_jaccard_join": OP4}
+OP11 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+         coalesce(source, '') AS source
+  FROM documents
+), occurrence AS (
+  SELECT r, lang, source,
+         translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM doc
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM occurrence GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), used AS (
+  SELECT lang, source, term, count(*) AS n FROM occurrence JOIN kept USING (lang, term) GROUP BY ALL
+), in_lang AS (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), in_group AS (
+  SELECT lang, source, sum(n) AS total FROM used GROUP BY lang, source
+), groups AS (
+  SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(l.total, 0) AS n_lang,
+         coalesce(i.total, 0) AS n_group
+  FROM (SELECT DISTINCT lang, source FROM doc) AS g
+  LEFT JOIN in_lang AS l USING (lang) LEFT JOIN in_group AS i USING (lang, source)
+), dense AS (
+  SELECT lang, source, term, coalesce(u.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(u.n, 0) + 1)) // (n_group + v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 1)) // (n_lang + v) AS q
+  FROM groups JOIN kept USING (lang) LEFT JOIN used AS u USING (lang, source, term)
+), total AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM dense AS a JOIN dense AS b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN total ON total.lang = a.lang AND total.source = a.source AND total.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM dense WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM found
+QUALIFY part = 'pair' OR rank <= 200
+"""
+
+SQL: dict[str, str] = {
+    "op1_quality_rules": OP1,
+    "op4_ngram_jaccard_join": OP4,
+    "op11_source_divergence": OP11,
+}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aislewise.llm.common import fold, read_table
 from aislewise.llm.decontaminate import find_leaks
+from aislewise.llm.divergence import audit_sources
 from aislewise.llm.gru_lm import score_documents
 from aislewise.llm.html_extract import extract_text
 from aislewise.llm.language_id import identify_languages, train_languages
@@ -82,6 +83,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filters,
         op9_lm_scoring,
         op10_sharding,
+        op11_source_divergence,
     )
 }
