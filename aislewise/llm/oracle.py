@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from aislewise.llm import licenses
 from aislewise.llm import quality_rules as q
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -148,8 +149,71 @@ FROM found
 QUALIFY part = 'pair' OR rank <= 200
 """
 
+
+
+def _template_pattern(parts: tuple) -> str:
+    """A template as a regular expression over words, each after one space."""
+    made = []
+    for part in parts:
+        if isinstance(part, licenses.Wording):
+            made.append(" " + part.word.decode())
+        elif isinstance(part, licenses.AnyWords):
+            made.append(f"( [^ ]+){{{part.least},{part.most}}}")
+        else:
+            ways = "|".join(_template_pattern(way) for way in part.ways)
+            made.append(f"({ways})" + "?" * part.optional)
+    return "".join(made)
+
+
+_AUTOMATA = [(t, licenses.Automaton(t)) for t in licenses.TEMPLATES]
+_TEMPLATE_ROWS = ", ".join(
+    f"('{t.label}', '{_template_pattern(licenses.parse_template(t.wording))} ', {a.mandatory})"
+    for t, a in _AUTOMATA
+)
+# Two spaces between words, so that a phrase and the next one share none.
+_PHRASE_ROWS = ", ".join(
+    f"('{label}', ' {'  '.join(text.split())} ', {len(text.split())})"
+    for label, text in licenses.PHRASES.items()
+)
+OP13 = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), line AS (
+  SELECT r, doc_id, len(w) AS n_words, ' ' || array_to_string(w, ' ') || ' ' AS line,
+         ' ' || array_to_string(w, '  ') || ' ' AS wide
+  FROM doc
+), phrase(label, phrase, wording) AS (VALUES {_PHRASE_ROWS}
+), template(label, pattern, wording) AS (VALUES {_TEMPLATE_ROWS}
+), base AS (
+  SELECT r, label, wording, len(split) - 1 AS places,
+         (length(split[1]) - length(replace(split[1], ' ', ''))) // 2 AS first_word,
+         (length(wide) - length(replace(wide, ' ', ''))) // 2 - wording
+           - (length(split[-1]) - length(replace(split[-1], ' ', ''))) // 2 AS last_word
+  FROM (SELECT *, string_split(wide, phrase) AS split FROM line JOIN phrase ON contains(wide, phrase))
+), quoted AS (
+  SELECT r, label, wording FROM line JOIN template ON regexp_matches(line, pattern)
+), base_of AS (
+  SELECT r, sum(places) AS n_base, min(first_word) AS first_word, max(last_word) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM base GROUP BY r
+), all_of AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(wording) AS wording
+  FROM (SELECT r, label, wording FROM base UNION ALL SELECT * FROM quoted) GROUP BY r
+)
+SELECT doc_id, n_words::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+       first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(wording / n_words, 0.0) AS score
+FROM line LEFT JOIN base_of USING (r) LEFT JOIN all_of USING (r)
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op4_ngram_jaccard_join": OP4,
     "op11_source_divergence": OP11,
+    "op13_license_scans": OP13,
 }

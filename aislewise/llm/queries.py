@@ -13,13 +13,16 @@ from aislewise.llm.divergence import audit_sources
 from aislewise.llm.gru_lm import score_documents
 from aislewise.llm.html_extract import extract_text
 from aislewise.llm.language_id import identify_languages, train_languages
+from aislewise.llm.licenses import find_licenses, summarise_licenses
 from aislewise.llm.ngram_join import JoinRule, component_of_documents
 from aislewise.llm.quality_rules import clean_lines
-from aislewise.llm.sentencepiece_wfst import encode_documents, load_transducer
+from aislewise.llm.sentencepiece_wfst import MODEL, encode_documents, load_transducer
 from aislewise.llm.sharding import assign_shards
+from aislewise.llm.token_alignment import AlignmentSettings, align_tokens
 from aislewise.llm.toxicity import score_toxicity, train_toxicity
 from aislewise.llm.url_rules import UrlRule, judge_urls
 
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 URL_RULES = (
     UrlRule("allow", "org", "/"),
     UrlRule("block", "example.org", "/es/"),
@@ -87,6 +90,14 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(read_table(spark, sf_dir, "documents"), AlignmentSettings(BYTE_BPE, MODEL))
+
+
+def op13_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summarise_licenses(find_licenses(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -101,5 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_lm_scoring,
         op10_sharding,
         op11_source_divergence,
+        op12_token_alignment,
+        op13_license_scans,
     )
 }
