@@ -17,20 +17,30 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislewise.llm.common import bounded_batches, stage
+from aislewise.llm.tokens import BASE, U64, mix
 
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 SCALE = 1_000_000_000
 COUNTED = "kind string, gid long, digest long, n long, docs long, term binary"
-#: Entries of the counters of one task before they are handed on.
-MOST_ENTRIES = 400_000
+GAP = re.compile(rb"[^A-Za-z\x80-\xff]")
+_IS_TERM = np.zeros(256, bool)
+_IS_TERM[97:123] = _IS_TERM[128:] = True
+#: Masks of the first 0 to 8 bytes of a number's eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
+#: Bytes of text counted at once.
+GATHER = 12 << 20
+#: Terms that a task remembers to have named.
+MOST_TOLD = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -67,7 +77,7 @@ def audit_sources(docs: DataFrame, rule: AuditRule = AuditRule()) -> DataFrame:
         _group_id(seed).alias("gid"), F.col("text").cast("binary").alias("text")
     )
     shift = 64 - rule.digest_bits
-    counted = keyed.mapInArrow(lambda batches: _count(batches, shift, False), COUNTED)
+    counted = keyed.mapInArrow(lambda batches: _count(batches, shift), COUNTED)
     stored = stage(counted, "terms")
     numbers = stored.where("kind = 'count'").select("gid", "digest", F.lit(0).alias("split"), "n", "docs")
     # One exchange by digest; each task has named a term about once.
@@ -115,69 +125,183 @@ def _groups(texts: DataFrame) -> tuple[DataFrame, int]:
         seed += 1
 
 
-def _count(batches: Iterator[pa.RecordBatch], shift: int, spell: bool) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents by group and term; with `spell` each count names its term."""
-    uses: dict[int, Counter] = {}
-    docs: dict[int, Counter] = {}
-    told: set[bytes] = set()
-    entries = 0
+def _count(batches: Iterator[pa.RecordBatch], shift: int) -> Iterator[pa.RecordBatch]:
+    """Counts of terms by group and digest, and the terms of the digests, each about once a task.
+
+    Texts are taken some megabytes at a time; one that is longer is counted in slices.
+    """
+    told = _Told()
+    held: list[tuple[int, bytes]] = []
+    size = 0
+    for batch in batches:
+        for gid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if len(text) > GATHER:
+                yield from _count_long(gid, text, shift, told)
+                continue
+            held.append((gid, text))
+            size += len(text)
+            if size > GATHER:
+                yield from _count_texts(held, shift, told)
+                held, size = [], 0
+    yield from _count_texts(held, shift, told)
+
+
+def _count_texts(held: list[tuple[int, bytes]], shift: int, told: _Told) -> Iterator[pa.RecordBatch]:
+    held = sorted(held, key=lambda h: h[0])
+    gids = np.array([gid for gid, _ in held], np.int64)
+    doc, found = _terms([text for _, text in held], shift)
+    # Stable, so the terms of a digest stay in order of documents and thus of groups.
+    order = np.argsort(found.digest, kind="stable")
+    digest, doc = found.digest[order], doc[order]
+    gid = gids[doc]
+    fresh = _changes(digest)
+    in_doc = fresh | _changes(doc)
+    begins = np.flatnonzero(fresh | _changes(gid))
+    n = np.diff(begins, append=len(digest))
+    docs = np.add.reduceat(in_doc.astype(np.int64), begins) if len(begins) else n
+    yield _counts(gid[begins], digest[begins], n, docs)
+    yield told.terms(found, order, fresh)
+
+
+def _count_long(gid: int, text: bytes, shift: int, told: _Told) -> Iterator[pa.RecordBatch]:
+    """One document, cut behind a term every GATHER bytes; its terms count as one document's."""
+    digests, counts = [], []
+    begin = 0
+    while begin < len(text):
+        gap = GAP.search(text, begin + GATHER)
+        end = gap.start() if gap else len(text)
+        _, found = _terms([text[begin:end]], shift)
+        order = np.argsort(found.digest, kind="stable")
+        fresh = _changes(found.digest[order])
+        begins = np.flatnonzero(fresh)
+        digests.append(found.digest[order][begins])
+        counts.append(np.diff(begins, append=len(order)))
+        yield told.terms(found, order, fresh)
+        begin = end
+    digest, where = np.unique(np.concatenate(digests), return_inverse=True)
+    n = np.zeros(len(digest), np.int64)
+    np.add.at(n, where, np.concatenate(counts))
+    one = np.ones(len(digest), np.int64)
+    yield _counts(one * gid, digest, n, one)
+
+
+class _Terms(NamedTuple):
+    """The terms of some texts: digests, the first and the next eight bytes, length, and the
+    digests of those that are longer."""
+
+    digest: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    size: np.ndarray
+    long: dict[bytes, int]
+
+
+def _terms(texts: list[bytes], shift: int) -> tuple[np.ndarray, _Terms]:
+    """The text that each term is of, and the terms."""
+    raw = b" ".join([*texts, bytes(16)]).translate(LOWER)
+    data = np.frombuffer(raw, np.uint8)
+    begins = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) + 1 for t in texts], out=begins[1:])
+    edges = np.flatnonzero(np.diff(_IS_TERM[data].view(np.int8), prepend=0))
+    starts, ends = edges[::2], edges[1::2]
+    doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, begins)))
+    size = ends - starts
+    eight = np.ndarray((len(data) - 7,), "<u8", raw, strides=(1,))
+    low = eight[starts] & _FIRST[np.minimum(size, 8)]
+    high = eight[starts + 8] & _FIRST[np.clip(size - 8, 0, 8)]
+    # One to one for terms of up to eight bytes.
+    digest = mix(mix(low) + high * U64(BASE))
+    long: dict[bytes, int] = {}
+    for k in np.flatnonzero(size > 16).tolist():
+        term = raw[starts[k] : ends[k]]
+        if term not in long:
+            long[term] = xxhash.xxh64_intdigest(term)
+        digest[k] = long[term]
+    digest = (digest >> U64(shift)).view(np.int64)
+    return doc, _Terms(digest, low, high, size, {t: d >> shift for t, d in long.items()})
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Whether each value is another than the one before."""
+    return np.diff(values, prepend=values[:1] + 1) != 0
+
+
+class _Told:
+    """The terms that a task has named already, as far as there is room."""
+
+    def __init__(self) -> None:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.digest = np.zeros(0, np.int64)
+        self.low = self.high = np.zeros(0, U64)
+        self.long: set[bytes] = set()
+
+    def terms(self, found: _Terms, order: np.ndarray, fresh: np.ndarray) -> pa.RecordBatch:
+        """Each digest with each of its terms that isn't told yet. Equal digests follow each other in `order`."""
+        low, high = found.low[order], found.high[order]
+        at = order[(fresh | _changes(low) | _changes(high)) & (found.size[order] <= 16)]
+        digest, low, high, size = found.digest[at], found.low[at], found.high[at], found.size[at]
+        place = np.minimum(np.searchsorted(self.digest, digest), max(len(self.digest) - 1, 0))
+        if len(self.digest):
+            new = (self.digest[place] != digest) | (self.low[place] != low) | (self.high[place] != high)
+            digest, low, high, size, place = digest[new], low[new], high[new], size[new], place[new]
+        long = found.long.keys() - self.long
+        if len(self.digest) + len(self.long) > MOST_TOLD:
+            self._forget()
+        where = np.searchsorted(self.digest, digest)
+        self.digest = np.insert(self.digest, where, digest)
+        self.low, self.high = np.insert(self.low, where, low), np.insert(self.high, where, high)
+        self.long |= long
+        letters = np.stack([low, high], axis=1).view(np.uint8)[np.arange(16) < size[:, None]]
+        ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        short = pa.Array.from_buffers(
+            pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(letters.tobytes())]
+        )
+        listed = list(long)
+        term = pa.concat_arrays([short, pa.array(listed, pa.binary())])
+        own = np.concatenate([digest, np.array([found.long[t] for t in listed], np.uint64).view(np.int64)])
+        none = pa.nulls(len(term), pa.int64())
+        return _rows("term", none, pa.array(own), none, none, term)
+
+
+def _counts(gid: np.ndarray, digest: np.ndarray, n: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(x.astype(np.int64)) for x in (gid, digest, n, docs)]
+    return _rows("count", *columns, pa.nulls(len(gid), pa.binary()))
+
+
+def _spell(batches: Iterator[pa.RecordBatch], shift: int) -> Iterator[pa.RecordBatch]:
+    """Counts of terms by group, each with its term; for the digests that terms share."""
     for batch in batches:
-        gids = batch.column(0).to_pylist()
-        for gid, text in zip(gids, batch.column(1).to_pylist()):
-            if gid not in uses:
-                uses[gid], docs[gid] = Counter(), Counter()
+        uses: dict[int, Counter] = {}
+        docs: dict[int, Counter] = {}
+        for gid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = TERM.findall(text.translate(LOWER))
-            entries -= len(uses[gid])
-            uses[gid].update(words)
-            docs[gid].update(set(words))
-            entries += len(uses[gid])
-            if entries > MOST_ENTRIES:
-                yield from _flush(uses, docs, told, shift, spell)
-                entries = 0
-    yield from _flush(uses, docs, told, shift, spell)
-
-
-def _flush(
-    uses: dict[int, Counter], docs: dict[int, Counter], told: set[bytes], shift: int, spell: bool
-) -> Iterator[pa.RecordBatch]:
-    digest_of: dict[bytes, int] = {}
-    for counts in uses.values():
-        for term in counts.keys() - digest_of.keys():
-            digest_of[term] = (xxhash.xxh64_intdigest(term) >> shift) - (1 << 63 >> shift)
-    for gid in list(uses):
-        counts, seen = uses.pop(gid), docs.pop(gid)
-        digests = pa.array([digest_of[t] for t in counts], pa.int64())
-        terms = list(counts) if spell else [None] * len(counts)
-        yield _rows(
-            "count", pa.array([gid] * len(counts), pa.int64()), digests, list(counts.values()),
-            [seen[t] for t in counts], terms,
-        )
-    if spell:
-        return
-    fresh = list(digest_of.keys() - told)
-    if len(told) > MOST_ENTRIES:
-        told.clear()
-    told.update(fresh)
-    none = [None] * len(fresh)
-    digests = pa.array([digest_of[t] for t in fresh], pa.int64())
-    yield _rows("term", pa.array(none, pa.int64()), digests, none, none, fresh)
-
-
-def _rows(kind: str, gids: pa.Array, digests: pa.Array, n: list, docs: list, terms: list) -> pa.RecordBatch:
+            uses.setdefault(gid, Counter()).update(words)
+            docs.setdefault(gid, Counter()).update(set(words))
+        for gid, counts in uses.items():
+            terms = list(counts)
+            _, found = _terms([b" ".join(terms)], shift)
+            n = np.array([counts[t] for t in terms], np.int64)
+            seen = np.array([docs[gid][t] for t in terms], np.int64)
+            columns = [pa.array(x) for x in (np.full(len(terms), gid, np.int64), found.digest, n, seen)]
+            yield _rows("count", *columns, pa.array(terms, pa.binary()))
+
+
+def _rows(
+    kind: str, gids: pa.Array, digests: pa.Array, n: pa.Array, docs: pa.Array, terms: pa.Array
+) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array([kind] * len(digests), pa.string()), gids, digests,
-            pa.array(n, pa.int64()), pa.array(docs, pa.int64()), pa.array(terms, pa.binary()),
-        ],
+        [pa.repeat(pa.scalar(kind), len(digests)), gids, digests, n, docs, terms],
         names=["kind", "gid", "digest", "n", "docs", "term"],
-    )
+    )
 
 
 def _split(
     keyed: DataFrame, shift: int, numbers: DataFrame, names: DataFrame, shared: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """Counts and names with the terms of a shared digest told apart by their order in it."""
-    spelled = keyed.mapInArrow(lambda batches: _count(batches, shift, True), COUNTED)
+    spelled = keyed.mapInArrow(lambda batches: _spell(batches, shift), COUNTED)
     spelled = stage(spelled.join(shared, "digest", "left_semi"), "spelled")
     place = F.row_number().over(Window.partitionBy("digest").orderBy("term"))
     apart = stage(spelled.select("digest", "term").distinct().withColumn("split", place), "apart")
