@@ -4,8 +4,10 @@ from aislewise.operators.behaviour import conversion_funnel, hourly_activity
 from aislewise.operators.quality import (
     SchemaMismatch,
     clean_events,
+    cleaning_rules,
     compare_schema,
     null_counts,
+    quality_measures,
     quality_report,
     require_rows,
     schema_report,
@@ -35,6 +37,7 @@ from aislewise.operators.sessions import (
 __all__ = [
     "SchemaMismatch",
     "clean_events",
+    "cleaning_rules",
     "compare_schema",
     "conversion_funnel",
     "funnel_by_rate",
@@ -45,6 +48,7 @@ __all__ = [
     "null_counts",
     "product_rank",
     "product_sales",
+    "quality_measures",
     "quality_report",
     "rank_products",
     "require_rows",

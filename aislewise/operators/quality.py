@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,12 +79,7 @@ def require_rows(df: DataFrame) -> None:
 
 def quality_report(df: DataFrame) -> DataFrame:
     """One row from one pass: rows, nulls per column, unknown types, negative prices."""
-    return df.agg(
-        F.count("*").alias("total_rows"),
-        F.count_if(~is_event_type()).alias("invalid_events"),
-        F.count_if(F.col("price") < 0).alias("negative_prices"),
-        *[F.count_if(missing(df, name)).alias(f"null_{name}") for name in df.columns],
-    )
+    return df.agg(*quality_measures(df))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -93,15 +88,36 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.unpivot([], df.columns, "column_name", "null_count")
 
 
+def cleaning_rules(df: DataFrame) -> list[Column]:
+    """What a row must fulfil, one condition each: a null test per column reaches a Parquet scan.
+
+    The test for missing values also drops NaN prices, which would pass the comparison with zero.
+    """
+    return [
+        *[~missing(df, name) for name in KEY_COLUMNS],
+        F.col("event_type").isin(*EVENT_TYPES),
+        F.col("price") >= 0,
+        has_text("user_session"),
+    ]
+
+
 def clean_events(df: DataFrame) -> DataFrame:
     """Complete keys, known event type, price of zero or more, non-blank session, UTC time."""
     kept = df
-    for name in KEY_COLUMNS:
-        # Also drops NaN prices, which would pass the comparison with zero. Unlike
-        # na.drop, a null test per column reaches a Parquet scan.
-        kept = kept.filter(~missing(df, name))
-    return utc_without_zone(
-        kept.filter(F.col("event_type").isin(*EVENT_TYPES))
-        .filter(F.col("price") >= 0)
-        .filter(has_text("user_session"))
-    )
+    for rule in cleaning_rules(df):
+        kept = kept.filter(rule)
+    return utc_without_zone(kept)
+
+
+def quality_measures(df: DataFrame, among: Column | None = None) -> list[Column]:
+    """The aggregates of quality_report, over all rows or those for which `among` holds."""
+
+    def counted(condition: Column) -> Column:
+        return F.count_if(condition if among is None else among & condition)
+
+    return [
+        F.count("*").alias("total_rows") if among is None else F.count_if(among).alias("total_rows"),
+        counted(~is_event_type()).alias("invalid_events"),
+        counted(F.col("price") < 0).alias("negative_prices"),
+        *[counted(missing(df, name)).alias(f"null_{name}") for name in df.columns],
+    ]

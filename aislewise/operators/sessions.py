@@ -45,10 +45,13 @@ def session_partials(events: DataFrame, *keys: str) -> DataFrame:
     return events.groupBy("user_session", *(keys or ("event_type",))).agg(*_event_measures())
 
 
-def merge_session_partials(partials: DataFrame) -> DataFrame:
-    """Session statistics from rollup rows; equal to session_stats of their events."""
+def merge_session_partials(partials: DataFrame, *keys: str) -> DataFrame:
+    """Session statistics from rollup rows; equal to session_stats of their events.
+
+    Further `keys` are columns that are the same in all rows of a session.
+    """
     return _with_duration(
-        partials.groupBy("user_session").agg(
+        partials.groupBy(*keys, "user_session").agg(
             F.min("session_start").alias("session_start"),
             F.max("session_end").alias("session_end"),
             F.sum("num_events").alias("num_events"),

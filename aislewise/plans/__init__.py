@@ -2,6 +2,21 @@
 
 from aislewise.plans.analysis import analyse
 from aislewise.plans.end_to_end import run
+from aislewise.plans.incremental import SyncOutcome, live_events, live_rejects, sync
 from aislewise.plans.ingest import IngestOutcome, ingest
+from aislewise.plans.rollup import RollupOutcome, rollup_sessions, rollup_summary, update_rollup
 
-__all__ = ["IngestOutcome", "analyse", "ingest", "run"]
+__all__ = [
+    "IngestOutcome",
+    "RollupOutcome",
+    "SyncOutcome",
+    "analyse",
+    "ingest",
+    "live_events",
+    "live_rejects",
+    "rollup_sessions",
+    "rollup_summary",
+    "run",
+    "sync",
+    "update_rollup",
+]

@@ -6,13 +6,16 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from aislewise.plans.analysis import analyse
-from aislewise.plans.ingest import ingest
-from aislewise.schema import BLOCK_BYTES, CORRUPT, SAMPLE_BLOCKS
-from aislewise.session import size_shuffles
+from aislewise.plans.ingest import events_folder, ingest, ingest_report, quality_row
+from aislewise.schema import BLOCK_BYTES, SAMPLE_BLOCKS
+from aislewise.session import apply_plan, plan_aggregation, size_shuffles
 from aislewise.sinks import write_result
-from aislewise.sources.csv_events import Paths, parse_csv, parse_csv_sample
+from aislewise.sources import load_rejects
+from aislewise.sources.files import Paths, list_files
 
 OUTCOME = "skipped boolean, lines_read long, lines_rejected long, rows_written long"
+#: Bytes of a session's combined row in a shuffle: key, two times, count and sum.
+SESSION_BYTES = 96
 
 
 def run(
@@ -23,23 +26,33 @@ def run(
     sample: bool = False,
     compact: bool = False,
     rejects: bool = False,
+    multiline: bool = False,
 ) -> dict[str, str]:
     """Ingest unless already done, then run all analyses; returns the result paths.
 
-    Shuffles and splits are sized by the input first. `ingest_outcome` is a table of one row: whether
-    the ingest was skipped, and the lines read and rejected and the rows written if not. With
-    `rejects` the malformed lines are stored too, as (source_file, line), by a second
-    pass over the input that a skipped ingest does not make.
+    The splits of the ingest are sized by the input; the shuffles of the analyses by the bytes stored, the
+    rows and the number of sessions that the ingest counted. `ingest_outcome` is a table of one row: whether
+    the ingest was skipped, and the lines read and rejected and the rows written if not. `quality_report` is what
+    the ingest counted of the well-formed rows. With `rejects` the malformed lines are
+    stored as well, as (source_file, line), by the same pass.
     """
     size_shuffles(spark, inputs, pattern, SAMPLE_BLOCKS * BLOCK_BYTES if sample else None)
-    validated = f"{output}/validated"
-    outcome = ingest(spark, inputs, validated, pattern, sample, compact)
-    paths = {"ingest_outcome": f"{output}/ingest_outcome"}
+    target = f"{output}/validated"
+    outcome = ingest(spark, inputs, target, pattern, sample, compact, rejects, multiline)
+    validated = events_folder(target, rejects)
+    paths = {name: f"{output}/{name}" for name in ("ingest_outcome", "quality_report")}
     write_result(spark.createDataFrame([tuple(outcome)], OUTCOME), paths["ingest_outcome"])
+    write_result(quality_row(spark, target), paths["quality_report"])
     if rejects:
         paths["rejects"] = f"{output}/rejects"
-        if not outcome.skipped:
-            parse = parse_csv_sample if sample else parse_csv
-            bad = parse(spark, inputs, pattern).filter(F.col(CORRUPT).isNotNull())
-            write_result(bad.select("source_file", F.col(CORRUPT).alias("line")), paths["rejects"])
+        write_result(load_rejects(spark, target), paths["rejects"])
+    _size_analyses(spark, target, validated)
     return paths | analyse(spark, validated, f"{output}/results")
+
+
+def _size_analyses(spark: SparkSession, target: str, validated: str) -> None:
+    """The aggregation by session and event type is the largest shuffle of the analyses."""
+    counted = ingest_report(spark, target)
+    stored = list_files(spark, validated, "*.parquet").agg(F.sum("length")).first()[0] or 0
+    groups = counted["sessions"] * 2
+    apply_plan(spark, plan_aggregation(stored, counted["written"], groups, SESSION_BYTES))

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aislewise.functions import utc_without_zone
+from aislewise.operators import cleaning_rules
+from aislewise.schema import CORRUPT
+
+# Partition values of lines that became events and of malformed ones.
+GOOD, BAD = "good", "bad"
 
 
 def write_validated(
@@ -25,6 +33,35 @@ def write_validated(
     writer.partitionBy("event_type").parquet(path)
 
 
+def grade_lines(parsed: DataFrame) -> DataFrame:
+    """Parsed lines as one table of two kinds, to be written in one pass.
+
+    status is `good` for rows that clean_events keeps and `bad` for malformed lines; `line` is the text of the
+    latter, whose other columns are null. Rows that cleaning drops are in neither kind.
+    """
+    broken = F.col(CORRUPT).isNotNull()
+    tags = [c for c in ("source_file", "source") if c in parsed.columns]
+    values = [c for c in parsed.columns if c not in (CORRUPT, *tags)]
+    clean = functools.reduce(Column.__and__, cleaning_rules(parsed))
+    kept = utc_without_zone(parsed.filter(broken | clean))
+    return kept.select(
+        F.when(broken, BAD).otherwise(GOOD).alias("status"),
+        *tags,
+        *[F.when(~broken, F.col(c)).alias(c) for c in values],
+        F.col(CORRUPT).alias("line"),
+    )
+
+
+def write_graded(graded: DataFrame, path: str, *keys: str, replace_all: bool = False) -> None:
+    """Graded lines below status, further keys and event_type, each read by its partition alone.
+
+    No data moves. Partitions that the rows have are replaced; others stay unless `replace_all` says otherwise.
+    """
+    overwrite = "static" if replace_all else "dynamic"
+    writer = graded.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+    writer.partitionBy("status", *keys, "event_type").parquet(path)
+
+
 def write_result(df: DataFrame, path: str) -> None:
     """A result table, replacing an earlier one.
 

@@ -7,13 +7,14 @@ from aislewise.sources.csv_events import (
     scan_csv,
     scan_rejects,
 )
-from aislewise.sources.parquet_events import load_events
+from aislewise.sources.parquet_events import load_events, load_rejects
 from aislewise.sources.synthetic import generate_events, write_synthetic_csv
 
 __all__ = [
     "discover_inputs",
     "generate_events",
     "load_events",
+    "load_rejects",
     "read_header",
     "sample_csv",
     "scan_csv",

@@ -3,7 +3,8 @@
 The files are read as text lines and each line is parsed with from_csv against
 all columns. The CSV reader itself cannot be used to set malformed rows aside:
 which rows it calls malformed depends on the columns a query happens to touch.
-A quoted field therefore must not contain a line break.
+A quoted field may contain a line break where `multiline` says so; that costs a pass over the
+text to count quotes. Each file has its columns in the order of its own header.
 """
 
 from __future__ import annotations
@@ -13,17 +14,24 @@ import functools
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislewise.schema import BLOCK_BYTES, CORRUPT, MONTHLY_FILES, RAW, SAMPLE_BLOCKS
+from aislewise.sources.csv_records import quoted_records
+from aislewise.sources.files import (
+    BYTE_ORDER_MARK,
+    Paths,
+    list_files,
+    literal,
+    read_headers,
+    source_id,
+    text_lines,
+)
 
 # Seconds are usual; a fraction and a missing zone are accepted too.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS][ 'UTC']"
 PARSE_OPTIONS = {"timestampNTZFormat": TIME_FORMAT, "escape": '"'}
-BYTE_ORDER_MARK = "\ufeff"
-
-Paths = str | Sequence[str]
 
 
 def discover_inputs(
@@ -38,18 +46,10 @@ def discover_inputs(
     return [found[name] for name in names if name in found]
 
 
-def _text(spark: SparkSession, paths: Paths, pattern: str | None) -> DataFrame:
-    roots = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.text(roots)
-
-
 def read_header(spark: SparkSession, paths: Paths, pattern: str | None = None) -> str | None:
     """Header line of the input, or None when there are no lines."""
     first = (
-        _text(spark, paths, pattern)
+        text_lines(spark, paths, pattern)
         .filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
         .select("value")
         .first()
@@ -65,18 +65,8 @@ def _column_list(header: str | None) -> str:
     return ", ".join([*quoted, f"{CORRUPT} string"])
 
 
-def _names_columns(line: Column) -> Column:
-    """Whether a line is a header: most columns of RAW are among its fields by name."""
-    fields = F.split(F.translate(F.ltrim(line, F.lit(BYTE_ORDER_MARK)), '"', ""), ",")
-    names = F.array(*[F.lit(n) for n in RAW.names])
-    most = F.size(F.array_intersect(fields, names)) * 2 > len(RAW.names)
-    return F.when(line.contains("event_type") | line.contains("event_time"), most).otherwise(False)
-
-
 def _parse(lines: DataFrame, header: str | None) -> DataFrame:
-    """source_file, the columns of the header, and the raw line if malformed.
-
-    A file with another header ends the scan, as its values would land in wrong columns.
+    """The columns of `lines` but for value, those of the header, and the raw line if malformed.
 
     inline() keeps the filters that follow above the parser, so that every line
     is parsed once and always against all columns.
@@ -84,34 +74,61 @@ def _parse(lines: DataFrame, header: str | None) -> DataFrame:
     body = lines.filter(F.trim("value") != "")
     if header is not None:
         body = body.filter(F.ltrim("value", F.lit(BYTE_ORDER_MARK)) != header)
-        other = F.raise_error(F.concat(F.lit("another header than the first file's: "), "value"))
-        body = body.filter(
-            F.when(_names_columns(F.col("value")), other.cast("boolean")).otherwise(True)
-        )
     record = F.from_csv("value", _column_list(header), PARSE_OPTIONS)
-    return body.select(
-        F.col("_metadata.file_name").alias("source_file"), F.inline(F.array(record))
-    )
+    named = [c for c in lines.columns if c != "value"]
+    return body.select(*named, F.inline(F.array(record)))
+
 
+def _lines(spark: SparkSession, paths: Paths, pattern: str | None, multiline: bool, source: bool) -> DataFrame:
+    named = {"source_file": F.col("_metadata.file_name")}
+    if source:
+        named["source"] = source_id()
+    lines = text_lines(spark, paths, pattern).withColumns(named)
+    return quoted_records(lines) if multiline else lines
 
-def parse_csv(spark: SparkSession, paths: Paths, pattern: str | None = None) -> DataFrame:
-    """All lines, good and malformed, with source_file and _corrupt_record."""
-    return _parse(_text(spark, paths, pattern), read_header(spark, paths, pattern))
+
+def parse_csv(
+    spark: SparkSession,
+    paths: Paths,
+    pattern: str | None = None,
+    multiline: bool = False,
+    source: bool = False,
+) -> DataFrame:
+    """All lines, good and malformed, with source_file and _corrupt_record.
+
+    Files may differ in their headers: those of one header are one scan, and the scans are united by
+    the names of columns; a column that a file lacks is null there. With `source` the
+    state of the file goes along as a column of that name (sources.files.source_id).
+    """
+    headers = read_headers(spark, paths, pattern)
+    if len(set(headers.values())) < 2:
+        header = next(iter(headers.values()), None)
+        return _parse(_lines(spark, paths, pattern, multiline, source), header)
+    files: dict[str, list[str]] = {}
+    for row in list_files(spark, paths, pattern).select("path", "uri").orderBy("uri").collect():
+        if row.uri in headers:
+            files.setdefault(headers[row.uri], []).append(literal(row.path))
+    scans = [_parse(_lines(spark, f, None, multiline, source), header) for header, f in files.items()]
+    return functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), scans)
 
 
 def well_formed(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "source_file")
 
 
-def scan_csv(spark: SparkSession, paths: Paths, pattern: str | None = None) -> DataFrame:
+def scan_csv(
+    spark: SparkSession, paths: Paths, pattern: str | None = None, multiline: bool = False
+) -> DataFrame:
     """Rows of one or many CSV files as one table; malformed lines are left out."""
-    return well_formed(parse_csv(spark, paths, pattern))
+    return well_formed(parse_csv(spark, paths, pattern, multiline))
 
 
-def scan_rejects(spark: SparkSession, paths: Paths, pattern: str | None = None) -> DataFrame:
+def scan_rejects(
+    spark: SparkSession, paths: Paths, pattern: str | None = None, multiline: bool = False
+) -> DataFrame:
     """The malformed lines as (source_file, line)."""
     return (
-        parse_csv(spark, paths, pattern)
+        parse_csv(spark, paths, pattern, multiline)
         .filter(F.col(CORRUPT).isNotNull())
         .select("source_file", F.col(CORRUPT).alias("line"))
     )
@@ -132,8 +149,10 @@ def parse_csv_sample(
     """
     parts = [
         _parse(
-            _text(spark, file, None).filter(F.col("_metadata.file_block_start") < n * block_bytes),
-            read_header(spark, file),
+            text_lines(spark, literal(file))
+            .filter(F.col("_metadata.file_block_start") < n * block_bytes)
+            .withColumn("source_file", F.col("_metadata.file_name")),
+            read_header(spark, literal(file)),
         )
         for file, n in _first_blocks(spark, paths, pattern, blocks, block_bytes)
     ]

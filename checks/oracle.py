@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from aislewise.schema import RAW as RAW_SCHEMA
 from aislewise.sources import synthetic
 
+RAW_NAMES = RAW_SCHEMA.names
+
 # FIXTURES.md section 2.
 RAW = """
 raw AS (
@@ -32,12 +35,15 @@ COLUMNS = (
     "brand, price, user_id, user_session"
 )
 KNOWN = "event_type IN ('view', 'cart', 'purchase', 'remove_from_cart')"
+IS_CLEAN = (
+    "(user_id IS NOT NULL AND product_id IS NOT NULL AND price IS NOT NULL AND event_time IS NOT NULL "
+    f"AND {KNOWN} AND price >= 0 AND trim(user_session) <> '')"
+)
 CLEAN = f"""
 clean AS (
   SELECT {COLUMNS}, coalesce(split_part(category_code, '.', 1), 'unknown') AS top_category
   FROM raw
-  WHERE user_id IS NOT NULL AND product_id IS NOT NULL AND price IS NOT NULL
-    AND event_time IS NOT NULL AND {KNOWN} AND price >= 0 AND trim(user_session) <> ''
+  WHERE {IS_CLEAN}
 )
 """
 REVENUE = """
@@ -110,6 +116,12 @@ lines AS (
   FROM raw
 )
 """
+DAMAGED = """
+SELECT event_id, CASE WHEN event_id % 11 = 0 THEN head || ',' || tail || ',more'
+                      WHEN event_id % 13 = 0 THEN head
+                      ELSE head || ',' || tail END AS line
+FROM lines
+"""
 REJECTED = "(event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0)"
 VALIDATED_SCHEMA = (
     "struct<event_time:timestamp_ntz,product_id:bigint,category_id:bigint,category_code:string,"
@@ -174,14 +186,16 @@ def _generated() -> str:
     """
 
 
+BROKEN_BRAND = """
+CASE WHEN event_id % 3 = 0
+     THEN coalesce(brand, 'no') || chr(10) || '"or"' || chr(10) || chr(10) || 'none'
+     ELSE brand END AS brand
+"""
 SQL: dict[str, str] = {
     "csv_scan": f"{_with(RAW)} SELECT {COLUMNS} FROM raw",
     "csv_rejects": f"""
     {_with(RAW, LINES)}
-    SELECT CASE WHEN event_id % 11 = 0 THEN head || ',' || tail || ',more'
-                WHEN event_id % 13 = 0 THEN head
-                ELSE head || ',' || tail END AS line
-    FROM lines WHERE {REJECTED}
+    SELECT line FROM ({DAMAGED}) WHERE {REJECTED}
     """,
     "csv_accepted": f"""
     {_with(RAW, LINES)}
@@ -234,6 +248,38 @@ SQL: dict[str, str] = {
            CASE WHEN NOT skipped THEN rows_written END AS rows_written
     FROM sizes, (VALUES ('first', false), ('again', true), ('changed', false)) AS r(run, skipped)
     """,
+    "csv_headers_by_file": f"""
+    {_with(RAW)}
+    SELECT {COLUMNS.replace("brand", "CASE WHEN event_id % 3 < 2 THEN brand END AS brand")},
+           CASE WHEN event_id % 3 = 2 THEN 'batch' END AS loaded_by
+    FROM raw
+    """,
+    "csv_quoted_breaks": f"""
+    {_with(RAW)}
+    SELECT {COLUMNS.replace("brand", BROKEN_BRAND)} FROM raw
+    """,
+    "ingest_incremental": f"""
+    {_with(RAW)}, file AS (
+      SELECT event_id % 4 AS k, count(*) AS n, count(*) FILTER (WHERE {IS_CLEAN}) AS good,
+             sum(price) FILTER (WHERE {IS_CLEAN}) AS paid
+      FROM raw GROUP BY event_id % 4
+    ), step(step, files_gone, from_new, from_all) AS (
+      VALUES ('first', false, 0, 0), ('changed', true, 3, 1), ('again', false, 4, 1)
+    )
+    SELECT step, true AS files_as_listed, files_gone,
+           coalesce(sum(n) FILTER (WHERE fresh), 0)::BIGINT AS lines_read,
+           coalesce(sum(good) FILTER (WHERE fresh), 0)::BIGINT AS rows_written,
+           0::BIGINT AS lines_rejected,
+           sum(good) FILTER (WHERE stored)::BIGINT AS rows_stored,
+           round(sum(paid) FILTER (WHERE stored), 2) AS price_sum
+    FROM (SELECT *, k >= from_new AND k < from_all + 3 AS fresh,
+                 k >= from_all AND k < from_all + 3 AS stored
+          FROM step, file)
+    GROUP BY step, files_gone
+    """,
+    "ingest_synced_events": f"""
+    {_with(RAW)} SELECT {COLUMNS} FROM raw WHERE event_id % 4 > 0 AND {IS_CLEAN}
+    """,
     "top_category": f"""
     {_with(RAW)}
     SELECT category_code, coalesce(split_part(category_code, '.', 1), 'unknown') AS top_category,
@@ -330,6 +376,16 @@ SQL: dict[str, str] = {
     "sample_head": f"""
     {_with(RAW)} SELECT {COLUMNS} FROM raw WHERE event_id % 4 IN (0, 1)
     """,
+    "sample_inside_file": f"""
+    {_with(RAW, LINES)}, placed AS (
+      SELECT event_id, {len(",".join(RAW_NAMES)) + 1} + coalesce(sum(strlen(line) + 1) OVER (
+               ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+      FROM ({DAMAGED})
+    )
+    SELECT event_type, count(*) AS count, sum(user_id)::BIGINT AS user_ids, max(user_id) AS max_user
+    FROM placed JOIN raw USING (event_id)
+    WHERE begins <= 2 * {1 << 14} AND NOT {REJECTED} GROUP BY event_type
+    """,
     "input_discovery": f"""
     {_with(RAW)} SELECT CAST(event_id % 2 AS INTEGER) AS folder, true AS as_listed, count(*) AS row_count
     FROM raw GROUP BY event_id % 2
@@ -337,3 +393,13 @@ SQL: dict[str, str] = {
 }
 # The job stores the very lines that the scan rejects.
 SQL["job_rejects"] = SQL["csv_rejects"]
+SQL["ingest_synced_rejects"] = SQL["csv_rejects"]
+# What the ingest counts is the report, and what batches leave in the rollup are the statistics.
+SQL["job_quality"] = SQL["dq_report"]
+SQL["session_rollup"] = SQL["session_stats"]
+SQL["session_rollup_buckets"] = """
+SELECT true AS others_keep_files, true AS has_untouched, true AS has_rewritten, true AS all_buckets
+"""
+SQL["session_rollup_summary"] = SQL["session_summary_approx"].replace(
+    "count(*) AS num_sessions", "true AS counts_sessions"
+)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +12,28 @@ from pyspark.sql import functions as F
 from aislewise import functions as fn
 from aislewise import operators as op
 from aislewise import sources
-from aislewise.plans import analyse, ingest, run
+from aislewise.plans import (
+    analyse,
+    ingest,
+    live_events,
+    live_rejects,
+    rollup_sessions,
+    rollup_summary,
+    run,
+    sync,
+    update_rollup,
+)
 from aislewise.plans.ingest import record_mode
+from aislewise.plans.rollup import ledger_of as rollup_ledger
 from aislewise.schema import RAW
 from aislewise.sinks import preview, write_result, write_validated
 from aislewise.sources import discover_inputs, load_events, sample_csv, scan_csv, scan_rejects
 from aislewise.workspace import scratch_path, stage
 from checks.tables import (
     csv_copy,
+    csv_in_other_orders,
+    csv_parts,
+    csv_with_breaks,
     damaged_lines,
     event_table,
     events,
@@ -33,6 +48,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 HISTOGRAM_UNIT = 20
 # Sample size that cuts into the sessions at every scale of the test tables.
 SAMPLE_SIZE = 200
+# Bytes of a sample block that cuts into one file at every scale.
+SAMPLE_BLOCK = 1 << 14
 
 
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
@@ -70,6 +87,17 @@ def sample_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_csv(spark, files, pattern="*.csv", block_bytes=1 << 50)
 
 
+def sample_inside_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two blocks of one larger file, in the order of its lines."""
+    path = scratch_path(spark, "damaged")
+    write_lines(damaged_lines(spark, sf_dir, ordered=True).coalesce(1), path)
+    with _splits_of(spark, SAMPLE_BLOCK // 4):
+        head = stage(sample_csv(spark, path, block_bytes=SAMPLE_BLOCK), "head")
+    return head.groupBy("event_type").agg(
+        F.count("*").alias("count"), F.sum("user_id").alias("user_ids"), F.max("user_id").alias("max_user")
+    )
+
+
 def input_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the discovered files of each folder, and whether an absent name was left out."""
     whole = raw_events_with_id(spark, sf_dir)
@@ -98,6 +126,31 @@ def generate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.generate_events(event_table(spark, sf_dir), "event_id", events_per_session=5)
 
 
+@contextlib.contextmanager
+def _splits_of(spark: SparkSession, size: int) -> Iterator[None]:
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def csv_headers_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three headers as one table; the last one has no brand."""
+    return scan_csv(spark, csv_in_other_orders(spark, sf_dir), pattern="*.csv").select(
+        *RAW.names, "loaded_by"
+    )
+
+
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields with line breaks, read in splits of 16 KB, many of which begin inside a record."""
+    path = csv_with_breaks(spark, sf_dir)
+    with _splits_of(spark, 1 << 14):
+        return stage(scan_csv(spark, path, pattern="*.csv", multiline=True), "records")
+
+
 # Validation and cleaning
 
 
@@ -160,6 +213,54 @@ def ingest_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files; then one goes and one comes; then nothing changes. What each run read and what is stored."""
+    parts = csv_parts(spark, sf_dir, 4)
+    target = scratch_path(spark, "synced")
+    steps = []
+    for step, inputs in (("first", parts[:3]), ("changed", parts[1:]), ("again", parts[1:])):
+        done = sync(spark, inputs, target, "*.csv")
+        n = len([f for f in spark.read.text(inputs, pathGlobFilter="*.csv").inputFiles()])
+        stored = live_events(spark, target).agg(F.count("*").alias("n"), F.sum("price").alias("s")).first()
+        steps.append(
+            (step, done.files_added + done.files_kept == n, done.files_removed > 0, done.lines_read,
+             done.rows_written, done.lines_rejected, stored.n, round(stored.s, 2))
+        )
+    return spark.createDataFrame(
+        steps,
+        "step string, files_as_listed boolean, files_gone boolean, lines_read long, rows_written long, "
+        "lines_rejected long, rows_stored long, price_sum double",
+    )
+
+
+def ingest_synced_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events after a file has gone and one has come: those of a full ingest."""
+    parts = csv_parts(spark, sf_dir, 4)
+    target = scratch_path(spark, "synced")
+    sync(spark, parts[:3], target, "*.csv")
+    sync(spark, parts[1:], target, "*.csv")
+    return live_events(spark, target)
+
+
+def ingest_synced_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The malformed lines of all files, one of which came later."""
+    paths = [scratch_path(spark, "damaged") for _ in range(3)]
+    whole = damaged_lines(spark, sf_dir)
+    shares = [F.pmod(F.xxhash64("line"), F.lit(3)) == k for k in range(3)]
+    for path, share in zip(paths, shares):
+        write_lines(whole.where(share), path)
+    target = scratch_path(spark, "synced")
+    sync(spark, paths[:2], target)
+    sync(spark, paths[::-1], target)
+    return live_rejects(spark, target).select("line")
+
+
+def job_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report that the whole job counts while it ingests."""
+    paths = run(spark, csv_copy(raw_events(spark, sf_dir)), scratch_path(spark, "job"))
+    return spark.read.parquet(paths["quality_report"])
+
+
 # Analyses
 
 
@@ -211,6 +312,53 @@ def session_stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(op.merge_session_partials(partials), total_spend=2)
 
 
+def _rollup_of_two(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """A rollup of most events, then of the rest, which few sessions have; what the second update did."""
+    found = stage(events(spark, sf_dir), "events")
+    late = (F.pmod("user_id", F.lit(50)) == 0) & (F.pmod("product_id", F.lit(2)) == 0)
+    update_rollup(spark, folder, op.session_stats(found.where(~late)), buckets=64)
+    before = stage(rollup_ledger(spark, folder).latest().select("bucket", "version"), "before")
+    done = update_rollup(spark, folder, op.session_stats(found.where(late)))
+    after = rollup_ledger(spark, folder).latest().select("bucket", F.col("version").alias("now"))
+    same = F.count_if(F.col("version") == F.col("now"))
+    return before.join(after, "bucket", "full").agg(
+        (same == F.lit(done.untouched)).alias("others_keep_files"),
+        (F.lit(done.untouched) > 0).alias("has_untouched"),
+        (F.lit(done.rewritten) > 0).alias("has_rewritten"),
+        (F.count("*") == done.untouched + done.rewritten).alias("all_buckets"),
+    )
+
+
+def session_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session statistics of two batches, merged into a standing rollup."""
+    folder = scratch_path(spark, "rollup")
+    _rollup_of_two(spark, sf_dir, folder)
+    return _rounded(rollup_sessions(spark, folder), total_spend=2)
+
+
+def session_rollup_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That the second update leaves the buckets alone which its sessions don't fall into."""
+    return _rollup_of_two(spark, sf_dir, scratch_path(spark, "rollup"))
+
+
+def session_rollup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary from the buckets' sketches; the merged median is checked by its rank."""
+    folder = scratch_path(spark, "rollup")
+    _rollup_of_two(spark, sf_dir, folder)
+    summary = rollup_summary(spark, folder).first()
+    duration = F.col("session_duration_min")
+    rows = F.count("*")
+    return rollup_sessions(spark, folder).agg(
+        (rows == summary.num_sessions).alias("counts_sessions"),
+        F.lit(round(summary.avg_events, 6)).alias("avg_events"),
+        F.lit(round(summary.avg_spend, 4)).alias("avg_spend"),
+        (
+            (F.count_if(duration < summary.median_duration_min) <= rows * 0.502)
+            & (F.count_if(duration <= summary.median_duration_min) >= rows * 0.498)
+        ).alias("median_within_bound"),
+    )
+
+
 def top_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(op.top_brands(events(spark, sf_dir)), total_revenue=2)
 
@@ -337,6 +485,9 @@ QUERIES: dict[str, Query] = {
         csv_rejects,
         csv_accepted,
         sample_head,
+        sample_inside_file,
+        csv_headers_by_file,
+        csv_quoted_breaks,
         input_discovery,
         validated_scan,
         generate_events,
@@ -349,6 +500,10 @@ QUERIES: dict[str, Query] = {
         result_roundtrip,
         result_preview,
         ingest_idempotent,
+        ingest_incremental,
+        ingest_synced_events,
+        ingest_synced_rejects,
+        job_quality,
         top_category,
         revenue_by_category,
         product_rank,
@@ -359,6 +514,9 @@ QUERIES: dict[str, Query] = {
         session_stats,
         session_partials,
         session_stats_merged,
+        session_rollup,
+        session_rollup_buckets,
+        session_rollup_summary,
         top_brands,
         revenue_top10,
         brands_top10,

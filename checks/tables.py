@@ -78,7 +78,7 @@ def csv_copy(df: DataFrame) -> str:
     return path
 
 
-def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_lines(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
     """CSV lines of all events, some with a field too many, too few or of the wrong type."""
     fields = [
         F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")),
@@ -97,7 +97,8 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     def line(columns: list[Column]) -> Column:
         return F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in columns])
 
-    return raw_events_with_id(spark, sf_dir).select(
+    whole = raw_events_with_id(spark, sf_dir)
+    return (whole.orderBy("event_id") if ordered else whole).select(
         F.when(_every(11), line([*fields, *rest, F.lit("more")]))
         .when(_every(13), line(fields))
         .otherwise(line([*fields, *rest]))
@@ -116,3 +117,37 @@ def write_lines(lines: DataFrame, path: str) -> None:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+
+
+def csv_parts(spark: SparkSession, sf_dir: str, n: int) -> list[str]:
+    """The raw events as n CSV folders by event_id modulo n."""
+    whole = raw_events_with_id(spark, sf_dir)
+    return [csv_copy(whole.where(F.pmod("event_id", F.lit(n)) == k).select(*RAW.names)) for k in range(n)]
+
+
+def csv_in_other_orders(spark: SparkSession, sf_dir: str) -> str:
+    """One folder of CSV files with three orders of columns; the last also has a column more and one less."""
+    whole = raw_events_with_id(spark, sf_dir)
+    orders = [
+        RAW.names,
+        [*reversed(RAW.names)],
+        ["loaded_by", *[c for c in sorted(RAW.names) if c != "brand"]],
+    ]
+    path = scratch_path(spark, "csv")
+    for k, order in enumerate(orders):
+        part = whole.where(F.pmod("event_id", F.lit(3)) == k).withColumn("loaded_by", F.lit("batch"))
+        write_events_csv(part.select(*order), path, csv_sink.MICROS, mode="append")
+    return path
+
+
+def broken_brand() -> Column:
+    """A brand with line breaks and quotes in it for every third event."""
+    return F.when(_every(3), F.concat(F.coalesce("brand", F.lit("no")), F.lit('\n"or"\n\nnone'))).otherwise(
+        F.col("brand")
+    )
+
+
+def csv_with_breaks(spark: SparkSession, sf_dir: str) -> str:
+    """CSV files whose brands have line breaks."""
+    whole = raw_events_with_id(spark, sf_dir).withColumn("brand", broken_brand())
+    return csv_copy(whole.select(*RAW.names))

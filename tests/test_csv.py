@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -21,6 +23,8 @@ from aislewise.sources import (
     scan_rejects,
     write_synthetic_csv,
 )
+from aislewise.sources.csv_records import quoted_records
+from aislewise.sources.files import list_files, literal, read_headers, text_lines
 from aislewise.workspace import scratch_path
 
 HEADER = ",".join(RAW.names)
@@ -190,14 +194,80 @@ def test_text_and_numbers_survive_a_round_trip(spark, rows):
     assert {r.product_id: tuple(r) for r in scan_csv(spark, path).collect()} == expected
 
 
-def test_another_header_ends_the_scan(spark, tmp_path):
+def test_each_file_has_its_own_header(spark, tmp_path):
     write(tmp_path / "a.csv", HEADER, GOOD)
     names = list(RAW.names)
     i, j = names.index("category_code"), names.index("brand")
     names[i], names[j] = names[j], names[i]
-    write(tmp_path / "b.csv", ",".join(names), GOOD)
-    with pytest.raises(Exception, match="another header"):
-        scan_csv(spark, str(tmp_path)).collect()
+    write(tmp_path / "b[1].csv", "\ufeff" + ",".join(names) + ",note", GOOD + ",hi")
+    write(tmp_path / "c d%20.csv", "", "  ", HEADER, GOOD, GOOD)
+    write(tmp_path / "empty.csv", "", "")
+    rows = scan_csv(spark, str(tmp_path)).collect()
+    assert Counter((r.category_code, r.brand, r.note) for r in rows) == {
+        ("electronics.audio", "lg", None): 3, ("lg", "electronics.audio", "hi"): 1
+    }
+    for name, n in (("a.csv", 1), ("b[1].csv", 1), ("c d%20.csv", 2)):
+        one = {r.uri.rsplit("/", 1)[-1]: r.path for r in list_files(spark, str(tmp_path)).collect()}
+        path = next(p for p in one.values() if p.endswith(name))
+        assert scan_csv(spark, literal(path)).count() == n
+        assert sample_csv(spark, literal(path)).count() == n
+
+
+def test_headers_of_many_splits(spark, tmp_path, small_splits):
+    body = [GOOD] * 300
+    for k in range(3):
+        write(tmp_path / f"{k}.csv", HEADER + f",x{k}", *[f"{line},{k}" for line in body])
+    write(tmp_path / "small.csv", HEADER, GOOD)
+    headers = read_headers(spark, str(tmp_path))
+    assert {u.rsplit("/", 1)[-1]: h for u, h in headers.items()} == {
+        "small.csv": HEADER, **{f"{k}.csv": f"{HEADER},x{k}" for k in range(3)}
+    }
+    found = scan_csv(spark, str(tmp_path))
+    assert found.count() == 901
+    assert {r.x1: r["count"] for r in found.groupBy("x1").count().collect()} == {None: 601, "1": 300}
+
+
+def broken_lines(seed, n):
+    """CSV text whose brands hold line breaks, quotes and commas, and the brands."""
+    rnd = random.Random(seed)
+    text, brands = [], []
+    for i in range(n):
+        brand = "".join(rnd.choice(['\n', '"', ",", "a", "b ", "\n\n", "é"]) for _ in range(rnd.randint(0, 12)))
+        if rnd.random() < 0.5:
+            brand = "plain"
+        brands.append((i, brand or None))
+        quoted = '"' + brand.replace('"', '""') + '"' if set(brand) & set('\n",') or rnd.random() < 0.3 else brand
+        text.append(f"2019-10-01 00:00:05 UTC,view,{i},5,,{quoted},1.50,5,abc")
+    return "\n".join([HEADER, *text]) + "\n", brands
+
+
+@pytest.mark.parametrize("size", [64, 333, 4096])
+def test_line_breaks_in_quotes_across_splits(spark, tmp_path, size):
+    expected = []
+    for k in range(3):
+        text, brands = broken_lines(k, 120)
+        (tmp_path / f"{k}.csv").write_text(text)
+        expected += brands
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        scan = scan_csv(spark, str(tmp_path), multiline=True)
+        found = [(r.product_id, r.brand) for r in scan.collect()]
+    finally:
+        spark.conf.set(key, before)
+    trimmed = [(i, b if b is None else b) for i, b in expected]
+    assert sorted(found, key=str) == sorted(trimmed, key=str)
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path):
+    path = write(tmp_path / "a.csv", HEADER, GOOD, GOOD.replace("lg", '"lg'), GOOD, GOOD)
+    assert scan_csv(spark, path, multiline=True).count() == 1
+    [reject] = scan_rejects(spark, path, multiline=True).collect()
+    assert reject.line.count("\n") == 2
+    lines = text_lines(spark, path)
+    with pytest.raises(Exception, match="not closed within 100 bytes"):
+        quoted_records(lines, most_bytes=100).collect()
 
 
 def test_sample_goes_on_to_the_next_file(spark, tmp_path):
