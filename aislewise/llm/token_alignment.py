@@ -36,7 +36,9 @@ from aislewise.llm.common import bounded_batches, stage
 
 SPACE = "▁"
 #: Words whose tokens a worker keeps, and as many older ones.
-STORE = 100_000
+STORE = 150_000
+#: The tokens of a word that they don't spell.
+BAD = (b"", b"")
 #: Characters encoded in one call.
 CALL = 1 << 15
 # A space between two characters that are no white space: no token of either kind goes on over it.
@@ -131,8 +133,9 @@ class TokenPair:
         self.digits = _digits(max(len(self.bytes_a), len(self.bytes_b)))
         self.words = self._cut_safe(json.loads(byte_bpe))
         # A full store becomes the older one, from which words met again come back.
-        self.store: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.store: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.odd: dict[str, tuple[bytes, bytes]] = {}
 
     def _pieces(self) -> list[str]:
         return [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
@@ -151,37 +154,40 @@ class TokenPair:
 
     def encode(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray, bool]]:
         """Ids of both kinds of each text, and whether their bytes are those of a space and the text."""
-        units = [self._units(t) for t in texts]
+        if not self.words:
+            return [self._encode_whole(t) for t in texts]
         if len(self.store) > STORE:
             self.store, self.older = {}, self.store
-        fresh = {u for us in units for u in us}.difference(self.store)
+        if len(self.odd) > STORE:
+            self.odd.clear()
+        units = [t.split(" ") for t in texts]
+        fresh = set().union(*units).difference(self.store)
         again = fresh & self.older.keys()
         self.store.update((u, self.older[u]) for u in again)
-        self._learn(fresh - again)
+        fresh -= again
+        uncut = {u for u in fresh if not u or u[0].isspace() or u[-1].isspace()}
+        self._learn(fresh - uncut)
         found = []
-        for us in units:
-            known = [self.store[u] for u in us]
+        for text, us in zip(texts, units):
+            if uncut.isdisjoint(us):
+                known = [self.store[u] for u in us]
+            else:
+                known = [self.store.get(u) or self._learn_odd(u) for u in CUT.split(text)]
             a = np.frombuffer(b"".join([k[0] for k in known]), np.int32).astype(np.int64)
             b = np.frombuffer(b"".join([k[1] for k in known]), np.int32).astype(np.int64)
-            found.append((a, b, all([k[2] for k in known])))
+            found.append((a, b, BAD not in known))
         return found
 
-    def _units(self, text: str) -> list[str]:
-        if not self.words:
-            return [text]
-        units = text.split(" ")
-        if any([not u or u[0].isspace() or u[-1].isspace() for u in units]):
-            return CUT.split(text)
-        return units
+    def _encode_whole(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
+        a, b = self._ids(text)
+        spelled = b" " + text.encode()
+        return a.astype(np.int64), b.astype(np.int64), self._spelled(a, b) == (spelled, spelled)
 
     def _learn(self, units: set[str]) -> None:
         """Tokens of each unit into the store; units are encoded many at a time, joined by spaces."""
         batch: list[str] = []
         size = 0
         for unit in units:
-            if not self.words or not unit or unit[0].isspace() or unit[-1].isspace():
-                self._learn_one(unit)
-                continue
             batch.append(unit)
             size += len(unit)
             if size > CALL:
@@ -190,11 +196,12 @@ class TokenPair:
         if batch:
             self._learn_joined(batch)
 
-    def _learn_one(self, unit: str) -> None:
-        a, b = self._ids(unit)
-        text = b" " + unit.encode()
-        good = self._spelled(a, b) == (text, text)
-        self.store[unit] = a.tobytes(), b.tobytes(), good
+    def _learn_odd(self, unit: str) -> tuple[bytes, bytes]:
+        """Tokens of a unit with white space at an end, or of two words that only stand together."""
+        if unit not in self.odd:
+            a, b, good = self._encode_whole(unit)
+            self.odd[unit] = (a.astype(np.int32).tobytes(), b.astype(np.int32).tobytes()) if good else BAD
+        return self.odd[unit]
 
     def _ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
@@ -212,7 +219,7 @@ class TokenPair:
         text = b" " + joined.encode()
         if self._spelled(a, b) != (text, text):
             if len(units) == 1:
-                self._learn_one(units[0])
+                self.store[units[0]] = BAD
             else:
                 self._learn_joined(units[: len(units) // 2])
                 self._learn_joined(units[len(units) // 2 :])
@@ -220,9 +227,10 @@ class TokenPair:
         ends = np.cumsum([len(u.encode()) + 1 for u in units])
         cuts_a = np.searchsorted(np.cumsum(self.len_a[a]), ends, "right").tolist()
         cuts_b = np.searchsorted(np.cumsum(self.len_b[b]), ends, "right").tolist()
+        raw_a, raw_b = a.tobytes(), b.tobytes()
         from_a = from_b = 0
         for unit, to_a, to_b in zip(units, cuts_a, cuts_b):
-            self.store[unit] = a[from_a:to_a].tobytes(), b[from_b:to_b].tobytes(), True
+            self.store[unit] = raw_a[4 * from_a : 4 * to_a], raw_b[4 * from_b : 4 * to_b]
             from_a, from_b = to_a, to_b
 
     def close(self, run: Run) -> Part:
@@ -241,7 +249,12 @@ class TokenPair:
         A token belongs to the range in which it ends.
         """
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        # Between two ends of any kind lies just one token of each kind, and another two than elsewhere.
+        # Stable sorting merges the two sorted halves in one go; ends of both kinds are there twice.
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        twice = np.flatnonzero(ends[1:] == ends[:-1])
+        common = ends[twice]
+        ends = np.delete(ends, twice)
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
         upto_a = np.searchsorted(ends_a, common, "right")
         upto_b = np.searchsorted(ends_b, common, "right")
@@ -253,8 +266,6 @@ class TokenPair:
         letters[at_a, :-1], letters[at_b, :-1] = self.digits[a], self.digits[b]
         letters[at_a, -1] = np.where(common[group_a] == ends_a, ord("|"), ord(","))
         letters[at_b, -1] = np.where(common[group_b] == ends_b, ord(";"), ord(","))
-        # Between two ends of any kind lies just one token of each kind, and another two than elsewhere.
-        ends = np.union1d(ends_a, ends_b)
         pairs = a[np.searchsorted(ends_a, ends)] << 32 | b[np.searchsorted(ends_b, ends)]
 
         found = []
@@ -577,11 +588,10 @@ def align_tokens(docs: DataFrame, settings: AlignmentSettings) -> DataFrame:
     for more in (sound.where("kind in ('slab', 'block')"), joints):
         stored = stored.unionByName(more)
 
-    counted = _with_counts(stored, texts.schema["doc_id"].dataType)
-    whole = counted.where("seg < 0").drop("row", "seg", "side", "rendered")
+    of_whole, of_pieces = _with_counts(stored, texts.schema["doc_id"].dataType)
+    whole = of_whole.drop("row", "seg", "side", "rendered")
     of_long = (
-        counted.where("seg >= 0")
-        .groupBy("row", "doc_id")
+        of_pieces.groupBy("row", "doc_id")
         .agg(
             *[F.sum(c).alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")],
             F.array_sort(F.collect_list(F.struct("seg", "side", "rendered"))).alias("parts"),
@@ -635,8 +645,9 @@ def _reducer(files, layout: pa.Schema, root: bool) -> Callable[[pa.Table], pa.Ta
     return lambda table: _reduce(table, files, layout, root)
 
 
-def _with_counts(stored: DataFrame, doc_id: T.DataType) -> DataFrame:
-    """The texts of all slabs with n_best and count_sum, from the corpus counts of their blocks' pairs."""
+def _with_counts(stored: DataFrame, doc_id: T.DataType) -> list[DataFrame]:
+    """The texts of all slabs with n_best and count_sum, from the corpus counts of their blocks' pairs:
+    whole texts, and parts of very long ones."""
     blocks = stored.where("kind = 'block'")
     listed = blocks.select(F.explode(F.arrays_zip("pairs", "counts")).alias("x")).select("x.*")
     totals = listed.groupBy("pairs").agg(F.sum("counts").alias("total"))
@@ -661,11 +672,12 @@ def _with_counts(stored: DataFrame, doc_id: T.DataType) -> DataFrame:
         ]
     )
     layout = to_arrow_schema(field)
-    return (
-        slabs.groupBy(*KEY).cogroup(numbers.groupBy(*of)).applyInArrow(
-            lambda left, right: _look_up(left, right, layout), field
-        )
-    )
+    return [
+        slabs.where(f"seg {side} 0").groupBy(*KEY)
+        .cogroup(numbers.where(f"of_seg {side} 0").groupBy(*of))
+        .applyInArrow(lambda left, right: _look_up(left, right, layout), field)
+        for side in ("<", ">=")
+    ]
 
 
 def _look_up(slabs: pa.Table, numbers: pa.Table, layout: pa.Schema) -> pa.Table:
