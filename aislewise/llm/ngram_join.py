@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,8 @@ COUNTERS = 1 << COUNTER_BITS
 PARITY_BITS, BITS_PER_GRAM = 256, 4
 #: Bits of the filters that spare the shuffles what can't match; when they fill up, more passes.
 SET_BITS, GRAM_BITS = 1 << 23, 1 << 26
-
+#: Text whose sets and grams a task holds at once.
+SLICE_BYTES = 1 << 20
 
 SKETCH = tuple(f"s{k}" for k in range(PARITY_BITS // 64))
 PREFIX = ["gram", "id", "n", "at", *SKETCH]
@@ -85,6 +87,16 @@ def _set_id(grams: np.ndarray) -> int:
     return int(tokens.shingles(parts, 3).astype(np.int64)[0]) or 1
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about SLICE_BYTES of text; a longer text is a slice of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]
+        for low, high in zip(cuts, cuts[1:]):
+            yield batch.slice(low, high - low)
+
+
 def _unique_row_ids() -> Iterator[int]:
     base = TaskContext.get().partitionId() << 33
     return iter(range(base, base + (1 << 33)))
@@ -99,7 +111,7 @@ def _describe(rule: JoinRule):
             [("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int64())]
             + [("chunk", pa.int32()), ("counts", pa.binary())]
         )
-        for batch in batches:
+        for batch in _slices(batches):
             texts = _Texts(batch.column("text"), rule)
             if texts.sets:
                 np.add.at(counts, _counter(np.concatenate(texts.sets)), 1)
@@ -144,7 +156,7 @@ def _prefixes(rule: JoinRule, frequency: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _slices(batches):
             texts = _Texts(batch.column("text"), rule)
             out: list[tuple[np.ndarray, ...]] = []
             for name, grams in zip(texts.ids.tolist(), texts.sets):
@@ -202,7 +214,7 @@ def _wanted_sets(rule: JoinRule, bitmap: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _slices(batches):
             texts = _Texts(batch.column("text"), rule)
             names, sets, sketches = [], [], []
             for name, grams in zip(texts.ids.tolist(), texts.sets):
