@@ -4,13 +4,20 @@ from aislewise.plans.analysis import analyse
 from aislewise.plans.end_to_end import run
 from aislewise.plans.incremental import SyncOutcome, live_events, live_rejects, sync
 from aislewise.plans.ingest import IngestOutcome, ingest
-from aislewise.plans.rollup import RollupOutcome, rollup_sessions, rollup_summary, update_rollup
+from aislewise.plans.rollup import (
+    RollupOutcome,
+    follow_sessions,
+    rollup_sessions,
+    rollup_summary,
+    update_rollup,
+)
 
 __all__ = [
     "IngestOutcome",
     "RollupOutcome",
     "SyncOutcome",
     "analyse",
+    "follow_sessions",
     "ingest",
     "live_events",
     "live_rejects",

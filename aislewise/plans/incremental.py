@@ -100,28 +100,37 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def _live(spark: SparkSession, target: str, status: str, counted: str, schema: str, sources) -> DataFrame:
-    rows = ledger_of(spark, target).latest()
-    if rows is None:
-        return spark.createDataFrame([], schema)
-    rows = rows.where(F.col(counted) > 0)
-    if sources is not None:
-        rows = rows.join(sources.select("source"), "source", "left_semi")
+def _read(spark: SparkSession, target: str, status: str, sources: DataFrame, schema: str) -> DataFrame:
+    """What the partitions of the given sources hold."""
     root = f"{target}/events/status={status}"
-    paths = [f"{root}/source={row.source}" for row in rows.select("source").orderBy("source").collect()]
+    paths = [f"{root}/source={row.source}" for row in sources.select("source").orderBy("source").collect()]
     if not paths:
         return spark.createDataFrame([], schema)
     reader = spark.read.option("basePath", root).schema(f"{schema}, source string")
     return reader.parquet(*paths).drop("source")
 
 
-def live_events(spark: SparkSession, target: str, sources: DataFrame | None = None) -> DataFrame:
-    """The events of all files that the ledger names, or of those whose ids `sources` holds."""
+def _live(spark: SparkSession, target: str) -> DataFrame:
+    rows = ledger_of(spark, target).latest()
+    return spark.createDataFrame([], FILES) if rows is None else rows
+
+
+def events_of(spark: SparkSession, target: str, sources: DataFrame) -> DataFrame:
+    """The events of the given sources (source, rows), named by the ledger or no longer so."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW)
-    events = _live(spark, target, GOOD, "rows", schema, sources)
+    events = _read(spark, target, GOOD, sources.where("rows > 0"), schema)
     return utc_without_zone(events).select(*RAW.names)
 
 
+def live_events(spark: SparkSession, target: str, sources: DataFrame | None = None) -> DataFrame:
+    """The events of all files that the ledger names, or of those whose ids `sources` holds."""
+    rows = _live(spark, target)
+    if sources is not None:
+        rows = rows.join(sources.select("source"), "source", "left_semi")
+    return events_of(spark, target, rows)
+
+
 def live_rejects(spark: SparkSession, target: str) -> DataFrame:
     """The malformed lines of all files that the ledger names, as (source_file, line)."""
-    return _live(spark, target, BAD, "rejects", "source_file string, line string", None)
+    sources = _live(spark, target).where("rejects > 0")
+    return _read(spark, target, BAD, sources, "source_file string, line string")

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislewise.functions import micros_between, micros_to_minutes
-from aislewise.operators import merge_session_partials
+from aislewise.operators import merge_session_partials, session_stats
+from aislewise.plans.incremental import events_of, live_events
+from aislewise.plans.incremental import ledger_of as files_ledger
 from aislewise.plans.ledger import Ledger
 from aislewise.workspace import stage
 
@@ -20,9 +22,10 @@ SESSIONS = (
     "user_session string, session_start timestamp_ntz, session_end timestamp_ntz, num_events long, "
     "total_spend double"
 )
+# A row is a bucket, or a source of events that is merged (with its number of rows).
 LIVE = (
     "bucket int, version string, buckets int, num_sessions long, num_events long, total_spend double, "
-    "durations binary"
+    "durations binary, source string, rows long"
 )
 
 
@@ -45,6 +48,7 @@ def update_rollup(
     partials: DataFrame,
     buckets: int = BUCKETS,
     replace: DataFrame | None = None,
+    sources: DataFrame | None = None,
 ) -> RollupOutcome:
     """Merge session partials into the rollup below `folder`.
 
@@ -56,15 +60,13 @@ def update_rollup(
     `buckets` counts for the first update; later ones keep to it. A bucket is written by one task, so
     choose them by the sessions in the end: two million sessions of a bucket take about 100 MB. Buckets
     listed in `replace` (column bucket) are taken from `partials` alone, for sessions that lost events.
+    `sources` (source, rows) is what the rollup holds from then on, if its batches have names.
     An interrupted update leaves the former state.
     """
     ledger = ledger_of(spark, folder)
-    live = ledger.latest()
-    if live is None:
-        live = spark.createDataFrame([], LIVE)
-    else:
-        live = stage(live, "live")
-        buckets = live.agg(F.max("buckets")).first()[0] or buckets
+    known = stage(_latest(spark, folder), "live")
+    live = known.where("bucket is not null")
+    buckets = rollup_buckets(spark, folder) or buckets
     measures = [f.split()[0] for f in SESSIONS.split(", ")]
     fresh = stage(partials.select(*measures).withColumn("bucket", bucket_of(buckets)), "fresh")
     touched = fresh.select("bucket").distinct()
@@ -92,10 +94,24 @@ def update_rollup(
         F.kll_sketch_agg_double(minutes, F.lit(SKETCH_SIZE)).alias("durations"),
     )
     untouched = live.join(touched, "bucket", "left_anti")
-    ledger.publish(stage(untouched.unionByName(totals), "live"))
+    merged = known.where("bucket is null").select("source", "rows") if sources is None else sources
+    for more in (totals, merged.select("source", "rows")):
+        untouched = untouched.unionByName(more, allowMissingColumns=True)
+    ledger.publish(stage(untouched, "live"))
+    untouched = live.join(touched, "bucket", "left_anti")
     return RollupOutcome(touched.count(), untouched.count())
 
 
+def _latest(spark: SparkSession, folder: str) -> DataFrame:
+    live = ledger_of(spark, folder).latest()
+    return spark.createDataFrame([], LIVE) if live is None else live
+
+
+def rollup_buckets(spark: SparkSession, folder: str) -> int | None:
+    """The number of buckets that the rollup was begun with."""
+    return _latest(spark, folder).agg(F.max("buckets")).first()[0]
+
+
 def _stored(spark: SparkSession, folder: str, live: DataFrame) -> DataFrame:
     """Sessions of the given buckets with their bucket."""
     schema = f"{SESSIONS}, bucket int"
@@ -111,9 +127,7 @@ def _stored(spark: SparkSession, folder: str, live: DataFrame) -> DataFrame:
 
 def rollup_sessions(spark: SparkSession, folder: str) -> DataFrame:
     """session_stats of everything that was merged."""
-    live = ledger_of(spark, folder).latest()
-    if live is None:
-        live = spark.createDataFrame([], LIVE)
+    live = _latest(spark, folder).where("bucket is not null")
     sessions = _stored(spark, folder, live).drop("bucket")
     minutes = micros_to_minutes(micros_between("session_start", "session_end"))
     return sessions.withColumn("session_duration_min", minutes)
@@ -121,11 +135,9 @@ def rollup_sessions(spark: SparkSession, folder: str) -> DataFrame:
 
 def rollup_summary(spark: SparkSession, folder: str) -> DataFrame:
     """session_summary from the totals and sketches of the buckets; the median is approximate."""
-    live = ledger_of(spark, folder).latest()
-    if live is None:
-        live = spark.createDataFrame([], LIVE)
     return (
-        live.agg(
+        _latest(spark, folder).where("bucket is not null")
+        .agg(
             F.coalesce(F.sum("num_sessions"), F.lit(0)).alias("num_sessions"),
             F.sum("num_events").alias("events"),
             F.sum("total_spend").alias("spend"),
@@ -140,3 +152,30 @@ def rollup_summary(spark: SparkSession, folder: str) -> DataFrame:
             F.try_divide("spend", "num_sessions").alias("avg_spend"),
         )
     )
+
+
+def follow_sessions(
+    spark: SparkSession, target: str, folder: str, buckets: int = BUCKETS
+) -> RollupOutcome | None:
+    """Bring the rollup in line with the files that sync has stored below `target`; None if it is.
+
+    New files are merged by their own sessions. Where files have gone, the buckets of their sessions
+    are computed anew from what the present files have for these buckets; that alone reads events
+    of files which were merged before.
+    """
+    files = stage(files_ledger(spark, target).latest().select("source", "rows"), "sources")
+    merged = _latest(spark, folder).where("bucket is null").select("source", "rows")
+    fresh = files.join(merged.select("source"), "source", "left_anti")
+    gone = stage(merged.join(files.select("source"), "source", "left_anti"), "gone")
+    if fresh.isEmpty() and gone.isEmpty():
+        return None
+    partials = session_stats(live_events(spark, target, fresh))
+    if gone.isEmpty():
+        return update_rollup(spark, folder, partials, buckets, sources=files)
+    number = rollup_buckets(spark, folder) or buckets
+    bucket = bucket_of(number).alias("bucket")
+    lost = stage(events_of(spark, target, gone).select(bucket).distinct(), "lost")
+    present = live_events(spark, target).withColumn("bucket", bucket).join(lost, "bucket", "left_semi")
+    again = session_stats(present)
+    others = partials.withColumn("bucket", bucket).join(lost, "bucket", "left_anti").drop("bucket")
+    return update_rollup(spark, folder, again.unionByName(others), number, replace=lost, sources=files)

@@ -397,6 +397,10 @@ SQL["ingest_synced_rejects"] = SQL["csv_rejects"]
 # What the ingest counts is the report, and what batches leave in the rollup are the statistics.
 SQL["job_quality"] = SQL["dq_report"]
 SQL["session_rollup"] = SQL["session_stats"]
+SQL["session_rollup_follows"] = f"""
+{_with(RAW, CLEAN.replace("FROM raw", "FROM raw WHERE event_id % 4 > 0 AND").replace("AND\n  WHERE", "AND"), SESSIONS)}
+SELECT * FROM sessions
+"""
 SQL["session_rollup_buckets"] = """
 SELECT true AS others_keep_files, true AS has_untouched, true AS has_rewritten, true AS all_buckets
 """

@@ -14,6 +14,7 @@ from aislewise import operators as op
 from aislewise import sources
 from aislewise.plans import (
     analyse,
+    follow_sessions,
     ingest,
     live_events,
     live_rejects,
@@ -317,9 +318,11 @@ def _rollup_of_two(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     found = stage(events(spark, sf_dir), "events")
     late = (F.pmod("user_id", F.lit(50)) == 0) & (F.pmod("product_id", F.lit(2)) == 0)
     update_rollup(spark, folder, op.session_stats(found.where(~late)), buckets=64)
-    before = stage(rollup_ledger(spark, folder).latest().select("bucket", "version"), "before")
+    before = rollup_ledger(spark, folder).latest().where("bucket is not null")
+    before = stage(before.select("bucket", "version"), "before")
     done = update_rollup(spark, folder, op.session_stats(found.where(late)))
-    after = rollup_ledger(spark, folder).latest().select("bucket", F.col("version").alias("now"))
+    after = rollup_ledger(spark, folder).latest().where("bucket is not null")
+    after = after.select("bucket", F.col("version").alias("now"))
     same = F.count_if(F.col("version") == F.col("now"))
     return before.join(after, "bucket", "full").agg(
         (same == F.lit(done.untouched)).alias("others_keep_files"),
@@ -336,6 +339,16 @@ def session_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rollup_sessions(spark, folder), total_spend=2)
 
 
+def session_rollup_follows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup of synced files, of which one goes and one comes."""
+    parts = csv_parts(spark, sf_dir, 4)
+    target, folder = (scratch_path(spark, name) for name in ("synced", "rollup"))
+    for inputs in (parts[:2], parts[:3], parts[1:], parts[1:]):
+        sync(spark, inputs, target, "*.csv")
+        follow_sessions(spark, target, folder, buckets=16)
+    return _rounded(rollup_sessions(spark, folder), total_spend=2)
+
+
 def session_rollup_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """That the second update leaves the buckets alone which its sessions don't fall into."""
     return _rollup_of_two(spark, sf_dir, scratch_path(spark, "rollup"))
@@ -515,6 +528,7 @@ QUERIES: dict[str, Query] = {
         session_partials,
         session_stats_merged,
         session_rollup,
+        session_rollup_follows,
         session_rollup_buckets,
         session_rollup_summary,
         top_brands,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aislewise.operators import clean_events, quality_report, session_stats, session_summary
 from aislewise.plans import (
+    follow_sessions,
     ingest,
     live_events,
     live_rejects,
@@ -160,7 +161,7 @@ def test_buckets_without_sessions_of_an_update_keep_their_files(spark):
     update_rollup(spark, folder, session_stats(events), buckets=8)
 
     def files():
-        rows = rollup_ledger(spark, folder).latest().collect()
+        rows = rollup_ledger(spark, folder).latest().where("bucket is not null").collect()
         return {r.bucket: r.version for r in rows}
 
     before = files()
@@ -179,6 +180,23 @@ def test_buckets_without_sessions_of_an_update_keep_their_files(spark):
     assert rollup_sessions(spark, folder).join(whole, "user_session", "left_semi").isEmpty()
 
 
+def test_the_rollup_follows_the_files(spark, tmp_path):
+    target, folder = scratch_path(spark, "synced"), scratch_path(spark, "rollup")
+    paths = {}
+    for k, users in enumerate([(1, 2), (2, 3), (3, 4), (9,)]):
+        lines = [line for u in users for line in lines_of(u, 30)]
+        paths[k] = write(tmp_path / f"{k}.csv", HEADER, *lines)
+    paths[4] = write(tmp_path / "4.csv", HEADER, *LINES[2:5])
+    for present in ([0, 1], [0, 1], [1, 2, 4], [2, 3], [3, 4], [0, 1, 2, 3]):
+        sync(spark, [paths[k] for k in present], target)
+        done = follow_sessions(spark, target, folder, buckets=8)
+        expected = session_stats(live_events(spark, target))
+        found = rollup_sessions(spark, folder).select(*expected.columns)
+        assert same(found, expected)
+        assert rollup_summary(spark, folder).first().num_sessions == expected.count()
+    assert done is not None and follow_sessions(spark, target, folder) is None
+
+
 def test_a_failed_update_leaves_the_rollup(spark, monkeypatch):
     events = generate_events(spark.range(500), events_per_session=5)
     folder = scratch_path(spark, "rollup")
