@@ -1,7 +1,7 @@
 """Jobs composed of sources, operators and sinks."""
 
 from aislewise.plans.analysis import analyse
-from aislewise.plans.end_to_end import run
+from aislewise.plans.end_to_end import follow, run
 from aislewise.plans.incremental import SyncOutcome, live_events, live_rejects, sync
 from aislewise.plans.ingest import IngestOutcome, ingest
 from aislewise.plans.rollup import (
@@ -17,6 +17,7 @@ __all__ = [
     "RollupOutcome",
     "SyncOutcome",
     "analyse",
+    "follow",
     "follow_sessions",
     "ingest",
     "live_events",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from aislewise.operators import cleaning_rules, clean_events, compare_schema, quality_measures
 from aislewise.schema import CORRUPT
 from aislewise.sinks import write_validated
-from aislewise.sinks.parquet_sink import GOOD, grade_lines, write_graded
+from aislewise.sinks.parquet_sink import GOOD, grade_lines, pack_types, write_graded
 from aislewise.sources.csv_events import parse_csv, parse_csv_sample, well_formed
 from aislewise.sources.files import Paths, list_files, roots
 
@@ -37,6 +37,7 @@ def ingest(
     compact: bool = False,
     rejects: bool = False,
     multiline: bool = False,
+    pack: bool = False,
 ) -> IngestOutcome:
     """Parse, check, clean and write the inputs in one pass over them.
 
@@ -46,7 +47,8 @@ def ingest(
 
     With `rejects` the same pass writes the malformed lines too: the events are then below
     `status=good` and the lines below `status=bad` of target (events_folder, load_rejects). The pass also
-    counts what quality_report would count of the well-formed rows (ingest_report).
+    counts what quality_report would count of the well-formed rows (ingest_report). With `pack` event types
+    in many small files are packed afterwards (pack_types).
     """
     state = input_state(spark, inputs, pattern, rejects, multiline)
     if _holds_events(spark, target) and _recorded(spark, target) == (sample, state):
@@ -75,6 +77,8 @@ def ingest(
         write_graded(grade_lines(parsed), target, replace_all=True)
     else:
         write_validated(clean_events(well_formed(parsed)), target, overwrite=True, compact=compact)
+    if pack:
+        pack_types(spark, events_folder(target, rejects))
     counts = seen.get
     _record_report(spark, target, counts)
     record_mode(spark, target, sample, state)

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from aislewise.functions import utc_without_zone
 from aislewise.operators import cleaning_rules
-from aislewise.schema import CORRUPT
+from aislewise.schema import BLOCK_BYTES, CORRUPT
+from aislewise.sources.files import list_files
 
+# Bytes of a stored file to aim at.
+FILE_BYTES = 2 * BLOCK_BYTES
 # Partition values of lines that became events and of malformed ones.
 GOOD, BAD = "good", "bad"
 
@@ -62,6 +65,37 @@ def write_graded(graded: DataFrame, path: str, *keys: str, replace_all: bool = F
     writer.partitionBy("status", *keys, "event_type").parquet(path)
 
 
+def pack_types(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> list[str]:
+    """Rewrite the event types that lie in many small files; the others are not read.
+
+    A split writes a file of each type, so rare types end up in files far below `file_bytes`. A type is
+    packed if it has more than twice the files its bytes ask for, into no more than these. Rows are dealt
+    evenly, whatever they hold. Each type's partition is replaced when the job commits; a
+    crash at that moment can lose it, so pack before a table is declared complete, as ingest does.
+    Returns the types that were packed.
+    """
+    files = list_files(spark, path, "*.parquet").select(
+        F.regexp_extract("path", "/event_type=([^/]*)/", 1).alias("event_type"), "length"
+    )
+    needed = F.greatest(F.ceil(F.sum("length") / file_bytes), F.lit(1)).cast("int")
+    types = files.groupBy("event_type").agg(F.count("*").alias("files"), needed.alias("parts"))
+    # One row per event type.
+    packed = {r.event_type: r.parts for r in types.where("files > 2 * parts").collect()}
+    if not packed:
+        return []
+    stored = spark.read.parquet(path).where(F.col("event_type").isin(*packed))
+    parts = functools.reduce(
+        lambda rest, one: F.when(F.col("event_type") == one[0], F.lit(one[1])).otherwise(rest),
+        packed.items(),
+        F.lit(1),
+    )
+    place = F.pmod(F.monotonically_increasing_id(), parts)
+    dealt = stored.withColumn("_place", place).repartition(sum(packed.values()), "event_type", "_place")
+    writer = dealt.drop("_place").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("event_type").parquet(path)
+    return sorted(packed)
+
+
 def write_result(df: DataFrame, path: str) -> None:
     """A result table, replacing an earlier one.
 

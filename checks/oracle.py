@@ -46,6 +46,8 @@ clean AS (
   WHERE {IS_CLEAN}
 )
 """
+# Without the first of so many files.
+CLEAN_PART = CLEAN.replace("WHERE", "WHERE event_id % {} > 0 AND", 1)
 REVENUE = """
 revenue AS (
   SELECT top_category, round(sum(price), 2) AS total_revenue, count(*) AS num_purchases,
@@ -229,6 +231,16 @@ SQL: dict[str, str] = {
     {_with(RAW, CLEAN)}
     SELECT event_type, count(*) AS count FROM clean GROUP BY event_type
     """,
+    "packed_layout": f"""
+    {_with(RAW, CLEAN)}
+    SELECT event_type, count(*) AS count, round(sum(price), 2) AS price_sum, true AS within_bound
+    FROM clean GROUP BY event_type
+    """,
+    "follow_values": f"""
+    {_with(RAW, CLEAN_PART.format(3), REVENUE, SESSIONS)}
+    SELECT 'revenue' AS table_name, top_category AS key, total_revenue AS value FROM revenue
+    UNION ALL SELECT 'sessions', 'all', count(*)::DOUBLE FROM sessions
+    """,
     "result_roundtrip": f"""
     {_with(RAW, CLEAN, REVENUE)}
     SELECT * FROM revenue
@@ -398,8 +410,7 @@ SQL["ingest_synced_rejects"] = SQL["csv_rejects"]
 SQL["job_quality"] = SQL["dq_report"]
 SQL["session_rollup"] = SQL["session_stats"]
 SQL["session_rollup_follows"] = f"""
-{_with(RAW, CLEAN.replace("FROM raw", "FROM raw WHERE event_id % 4 > 0 AND").replace("AND\n  WHERE", "AND"), SESSIONS)}
-SELECT * FROM sessions
+{_with(RAW, CLEAN_PART.format(4), SESSIONS)} SELECT * FROM sessions
 """
 SQL["session_rollup_buckets"] = """
 SELECT true AS others_keep_files, true AS has_untouched, true AS has_rewritten, true AS all_buckets

@@ -14,6 +14,7 @@ from aislewise import operators as op
 from aislewise import sources
 from aislewise.plans import (
     analyse,
+    follow,
     follow_sessions,
     ingest,
     live_events,
@@ -27,8 +28,9 @@ from aislewise.plans import (
 from aislewise.plans.ingest import record_mode
 from aislewise.plans.rollup import ledger_of as rollup_ledger
 from aislewise.schema import RAW
-from aislewise.sinks import preview, write_result, write_validated
+from aislewise.sinks import pack_types, preview, write_result, write_validated
 from aislewise.sources import discover_inputs, load_events, sample_csv, scan_csv, scan_rejects
+from aislewise.sources.files import list_files
 from aislewise.workspace import scratch_path, stage
 from checks.tables import (
     csv_copy,
@@ -187,6 +189,40 @@ def validated_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_events(spark, path).groupBy("event_type").agg(F.count("*").alias("count"))
 
 
+def packed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of many small files, packed: files by type within the bound, rows as before."""
+    path = scratch_path(spark, "validated")
+    write_validated(events(spark, sf_dir).repartition(12), path)
+    whole = list_files(spark, path, "*.parquet").agg(F.sum("length")).first()[0]
+    size = whole // 6
+    pack_types(spark, path, size)
+    file = F.regexp_extract("path", "/event_type=([^/]*)/", 1)
+    found = list_files(spark, path, "*.parquet").groupBy(file.alias("event_type"))
+    found = found.agg((F.count("*") <= 2 * F.ceil(F.sum("length") / size)).alias("within_bound"))
+    stored = load_events(spark, path).groupBy("event_type")
+    sums = stored.agg(F.count("*").alias("count"), F.round(F.sum("price"), 2).alias("price_sum"))
+    return sums.join(found, "event_type")
+
+
+def follow_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The following job over a folder that loses a file and gains one: revenue and sessions."""
+    parts = csv_parts(spark, sf_dir, 3)
+    output = scratch_path(spark, "job")
+    follow(spark, parts[:2], output, "*.csv")
+    paths = follow(spark, parts[1:], output, "*.csv")
+    revenue = spark.read.parquet(paths["revenue_by_category"]).select(
+        F.lit("revenue").alias("table_name"),
+        F.col("top_category").alias("key"),
+        F.round("total_revenue", 2).alias("value"),
+    )
+    sessions = spark.read.parquet(paths["session_stats"]).agg(
+        F.lit("sessions").alias("table_name"),
+        F.lit("all").alias("key"),
+        F.count("*").cast("double").alias("value"),
+    )
+    return revenue.unionByName(sessions)
+
+
 def result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "result")
     write_result(op.revenue_by_category(events(spark, sf_dir)), path)
@@ -510,6 +546,7 @@ QUERIES: dict[str, Query] = {
         dq_null_counts,
         clean_events,
         validated_write,
+        packed_layout,
         result_roundtrip,
         result_preview,
         ingest_idempotent,
@@ -543,5 +580,6 @@ QUERIES: dict[str, Query] = {
         end_to_end_row_counts,
         end_to_end_values,
         job_rejects,
+        follow_values,
     )
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aislewise.operators import clean_events, quality_report, session_stats, session_summary
 from aislewise.plans import (
+    follow,
     follow_sessions,
     ingest,
     live_events,
@@ -23,10 +24,11 @@ from aislewise.plans.rollup import bucket_of
 from aislewise.plans.rollup import ledger_of as rollup_ledger
 from aislewise.schema import RAW
 from aislewise.session import MOST_BLOCKS, plan_aggregation
+from aislewise.sinks import pack_types, write_validated
 from aislewise.sinks.parquet_sink import grade_lines
 from aislewise.sources import generate_events, load_events, load_rejects, scan_csv
 from aislewise.sources.csv_events import parse_csv
-from aislewise.workspace import scratch_path
+from aislewise.workspace import scratch_path, stage
 from tests.test_csv import GOOD, HEADER, LINES, write
 
 
@@ -229,3 +231,40 @@ def test_sizes_for_a_hundred_terabytes():
     # More groups never make fewer partitions.
     sizes = [plan_aggregation(tb, 10**10, g, 96).partitions for g in (10, 10**6, 10**8, 10**10)]
     assert sizes == sorted(sizes)
+
+
+def test_packing_moves_types_of_small_files_only(spark):
+    events = generate_events(spark.range(6000), events_per_session=5)
+    rare = events.where("event_type = 'cart'").limit(400)
+    path = scratch_path(spark, "validated")
+    write_validated(events.where("event_type <> 'cart'").coalesce(1), path)
+    write_validated(rare.repartition(9), path, overwrite=False)
+    before = set(spark.read.parquet(path).inputFiles())
+    rows = stage(load_events(spark, path), "rows")
+    assert pack_types(spark, path) == ["cart"]
+    after = set(spark.read.parquet(path).inputFiles())
+    assert len([f for f in before if "event_type=cart" in f]) == 9
+    assert len([f for f in after if "event_type=cart" in f]) == 1
+    assert {f for f in before if "cart" not in f} == {f for f in after if "cart" not in f}
+    assert same(load_events(spark, path), rows)
+    assert pack_types(spark, path) == []
+
+
+def test_the_following_job_equals_the_whole_one(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in range(3):
+        bought = [line.replace("view", "purchase") for line in lines_of(k, 4)]
+        write(folder / f"{k}.csv", HEADER, *bought, *LINES)
+    output = scratch_path(spark, "job")
+    follow(spark, str(folder), output)
+    (folder / "0.csv").unlink()
+    write(folder / "9.csv", HEADER, *lines_of(9, 6))
+    followed = follow(spark, str(folder), output)
+    whole = run(spark, str(folder), scratch_path(spark, "job"), rejects=True, pack=True)
+    for name in ("revenue_by_category", "conversion_funnel", "hourly_activity", "top_brands", "session_stats",
+                 "product_sales", "product_rank", "rejects"):
+        a, b = (spark.read.parquet(p[name]) for p in (followed, whole))
+        assert same(a.select(*sorted(a.columns)), b.select(*sorted(b.columns))), name
+    outcome = spark.read.parquet(followed["sync_outcome"]).first()
+    assert (outcome.files_added, outcome.files_removed, outcome.files_kept, outcome.lines_read) == (1, 1, 2, 6)
