@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -63,6 +64,9 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>",
     re.S,
 )
+CLOSED = re.compile(r"\A<!--.*-->\Z|\A<!\[CDATA\[.*\]\]>\Z", re.S)
+#: What is left to find behind the last ">": all of these run to the end.
+REST = re.compile(r"<!--|(<!\[CDATA\[)|<[!?]")
 ATTRIBUTE = re.compile(
     r"(class|id|role|style|aria-hidden|hidden|itemprop)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?",
     re.I,
@@ -146,6 +150,9 @@ def parse(source: str) -> Page:
     """
     page, text = Page(), []
     stack = [_Open("", 0, False, False, False, PLAIN, False)]
+    # Where in the stack elements of each tag, and blocks, are open.
+    places: defaultdict[str, list[int]] = defaultdict(list)
+    blocks = [0]
     low: str | None = None
 
     def flush() -> None:
@@ -153,39 +160,48 @@ def parse(source: str) -> Page:
             return
         joined = " ".join(html.unescape("".join(text)).split())
         text.clear()
-        top = next(x for x in reversed(stack) if x.tag in BLOCK or not x.tag)
+        top = stack[blocks[-1]]
         if joined:
             page.texts.setdefault(top.key, []).append(joined)
             page.blocks.append((top.key, top.word, top.main, joined))
 
     def close(at: int) -> None:
-        if any(x.tag in BLOCK for x in stack[at:]):
+        if blocks[-1] >= at:
             flush()
+        for element in stack[at:]:
+            places[element.tag].pop()
         del stack[at:]
+        while blocks[-1] >= at:
+            blocks.pop()
+
+    def nearest(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=0)
 
     def end_open(tags: set[str], up_to: frozenset[str] | set[str]) -> None:
-        for at in range(len(stack) - 1, 0, -1):
-            if stack[at].tag in tags:
-                close(at)
-                return
-            if stack[at].tag in up_to:
-                return
+        found = nearest(tags)
+        if found and found >= nearest(up_to):
+            close(found)
 
+    # No tag ends behind the last ">", so none is looked for there.
+    last = source.rfind(">") + 1
     at = 0
     while True:
-        token = TOKEN.search(source, at)
+        token = TOKEN.search(source, at, last)
         if token is None:
             break
         if token.start() > at and not (stack[-1].noise or stack[-1].loose):
             text.append(source[at : token.start()])
         at = token.end()
         if token.group(2) is None:
-            if token.group().startswith("<![CDATA[") and not (stack[-1].noise or stack[-1].loose):
-                text.append(html.escape(token.group()[9:].removesuffix("]]>")))
+            told = token.group()
+            if at == last and told.startswith(("<!--", "<![CDATA[")) and not CLOSED.search(told):
+                told, at = source[token.start() :], len(source)
+            if told.startswith("<![CDATA[") and not (stack[-1].noise or stack[-1].loose):
+                text.append(html.escape(told[9:].removesuffix("]]>")))
             continue
         tag = token.group(2).lower()
         if token.group(1):
-            found = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
+            found = nearest((tag,))
             if found:
                 close(found)
             continue
@@ -227,6 +243,9 @@ def parse(source: str) -> Page:
             # A class word of a wrapper, such as "has-sidebar", says nothing of an article below it.
             main = DOUBTED if main == ARTICLE and word else main
             word = False
+        places[tag].append(len(stack))
+        if tag in BLOCK:
+            blocks.append(len(stack))
         stack.append(
             _Open(
                 tag,
@@ -240,7 +259,10 @@ def parse(source: str) -> Page:
             )
         )
     if not (stack[-1].noise or stack[-1].loose):
-        text.append(source[at:])
+        rest = REST.search(source, at)
+        text.append(source[at : rest.start()] if rest else source[at:])
+        if rest and rest.group(1):
+            text.append(html.escape(source[rest.end() :]))
     flush()
     return page
 
