@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislewise.workspace import stage
 
-__all__ = ["bounded_batches", "fold", "hashed_sample", "read_table", "stage", "text_bytes"]
+__all__ = ["bounded_batches", "fold", "hashed_sample", "read_table", "release_memory", "stage", "text_bytes"]
 
 ARROW_BATCH = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
@@ -24,7 +27,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, most_bytes: int | None = None) -> None:
     """Bounds the rows and bytes of one Arrow batch, unless the session was given bounds.
 
     A Python worker then holds a few megabytes of text at a time however long
@@ -34,7 +37,19 @@ def bounded_batches(spark: SparkSession) -> None:
     given = spark.sparkContext.getConf()
     for key, value in ARROW_BATCH.items():
         if not given.contains(key):
-            spark.conf.set(key, value)
+            spark.conf.set(key, str(most_bytes) if most_bytes and key.endswith("maxBytesPerBatch") else value)
+
+
+def release_memory() -> None:
+    """Gives what earlier tasks of this worker process have freed back to the system.
+
+    A process serves tasks of many stages one after another; without this it keeps the memory of the largest.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 _shipped: set[str] = set()

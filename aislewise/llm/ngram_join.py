@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from aislewise.llm import tokens
-from aislewise.llm.common import bounded_batches, stage
+from aislewise.llm.common import bounded_batches, release_memory, stage
 from aislewise.llm.components import connected_components
 
 U64 = np.uint64
@@ -37,6 +37,8 @@ PARITY_BITS, BITS_PER_GRAM = 256, 4
 SET_BITS, GRAM_BITS = 1 << 23, 1 << 26
 #: Text whose sets and grams a task holds at once.
 SLICE_BYTES = 1 << 20
+#: Text of an Arrow batch, which is in the memory of both processes.
+BATCH_BYTES = 2 << 20
 
 SKETCH = tuple(f"s{k}" for k in range(PARITY_BITS // 64))
 PREFIX = ["gram", "id", "n", "at", *SKETCH]
@@ -89,12 +91,14 @@ def _set_id(grams: np.ndarray) -> int:
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about SLICE_BYTES of text; a longer text is a slice of its own."""
+    release_memory()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
         part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]
         for low, high in zip(cuts, cuts[1:]):
             yield batch.slice(low, high - low)
+    release_memory()
 
 
 def _unique_row_ids() -> Iterator[int]:
@@ -345,7 +349,7 @@ def similar_documents(
     The second round pairs only members that this left in another component than that one's, with
     all others of their gram. No pair of different components goes untested.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     described = stage(
         texts.mapInArrow(

@@ -18,6 +18,7 @@ SETTINGS = ta.AlignmentSettings(BYTE_BPE, MODEL)
 ODD = [
     None, "", " ", "a", "  two  spaces ", "\n", "a\n b \nc\n\n d", "tab\t x", "don't I'LL we've", "naïve café 東京 語 🙂 b",
     "<|endoftext|> <s> </s> <unk>", "a▁b", "it ▁ x", "x" * 500, "7 777 7777.5", "　wide   space ", "a\x1cb \x1c c", "é" * 40,
+    "\x00 a\x00b", "\ufeffword \u200b x", "a\u2028 b \u2029c", "\u00a0a \u00a0 b", "x \u0301e", "\r\n a\r b", "a\x85 b",
 ]
 
 
