@@ -350,15 +350,18 @@ class _Block:
         return listed
 
 
-# Numbers are packed by byte planes, whose upper ones are all but empty.
+_ZSTD = pa.Codec("zstd", compression_level=3)
+
+
 def _pack(numbers: np.ndarray) -> bytes:
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    return pa.compress(planes, "zstd", asbytes=True)
+    """Numbers in two bytes each, or four where a block has more pairs; the first byte says which."""
+    width = 2 if not len(numbers) or numbers.max() < 1 << 16 else 4
+    return bytes([width]) + _ZSTD.compress(numbers.astype(f"<u{width}").tobytes(), asbytes=True)
 
 
 def _unpack(packed: bytes, n: int) -> np.ndarray:
-    planes = pa.decompress(packed, 4 * n, "zstd", asbytes=True) if n else b""
-    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+    width = packed[0]
+    return np.frombuffer(_ZSTD.decompress(packed[1:], n * width, asbytes=True) if n else b"", f"<u{width}")
 
 
 KEY = ("block", "seg", "side")

@@ -112,6 +112,14 @@ def test_any_bracketing_of_any_ranges_gives_the_whole(pair):
             assert sum(p.n_groups for p in closed) == whole.closed[0][1].n_groups
 
 
+@pytest.mark.parametrize("most", [1, 1 << 16, (1 << 16) + 1, 1 << 31])
+def test_packed_numbers(most):
+    for n in (0, 1, 999):
+        numbers = np.random.default_rng(n).integers(0, most, n)
+        numbers[:1] = most - 1
+        assert ta._unpack(ta._pack(numbers), n).tolist() == numbers.tolist()
+
+
 def test_blocks_number_pairs():
     block = ta._Block()
     rnd = np.random.default_rng(4)
