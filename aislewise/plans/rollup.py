@@ -16,6 +16,10 @@ from aislewise.plans.ledger import Ledger
 from aislewise.workspace import stage
 
 BUCKETS = 1024
+# Where the number of buckets is chosen by the first events: their rows per bucket, which leaves room for
+# forty times as many, and the fewest buckets.
+ROWS_PER_BUCKET = 250_000
+LEAST_BUCKETS = 16
 #: Size of the quantile sketches: ranks are off by about 1 in 1,500.
 SKETCH_SIZE = 4096
 SESSIONS = (
@@ -155,13 +159,13 @@ def rollup_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def follow_sessions(
-    spark: SparkSession, target: str, folder: str, buckets: int = BUCKETS
+    spark: SparkSession, target: str, folder: str, buckets: int | None = None
 ) -> RollupOutcome | None:
     """Bring the rollup in line with the files that sync has stored below `target`; None if it is.
 
     New files are merged by their own sessions. Where files have gone, the buckets of their sessions
     are computed anew from what the present files have for these buckets; that alone reads events
-    of files which were merged before.
+    of files which were merged before. Without `buckets` the first events decide on their number.
     """
     files = stage(files_ledger(spark, target).latest().select("source", "rows"), "sources")
     merged = _latest(spark, folder).where("bucket is null").select("source", "rows")
@@ -170,9 +174,10 @@ def follow_sessions(
     if fresh.isEmpty() and gone.isEmpty():
         return None
     partials = session_stats(live_events(spark, target, fresh))
+    rows = files.agg(F.sum("rows")).first()[0] or 0
+    number = rollup_buckets(spark, folder) or buckets or max(LEAST_BUCKETS, rows // ROWS_PER_BUCKET)
     if gone.isEmpty():
-        return update_rollup(spark, folder, partials, buckets, sources=files)
-    number = rollup_buckets(spark, folder) or buckets
+        return update_rollup(spark, folder, partials, number, sources=files)
     bucket = bucket_of(number).alias("bucket")
     lost = stage(events_of(spark, target, gone).select(bucket).distinct(), "lost")
     present = live_events(spark, target).withColumn("bucket", bucket).join(lost, "bucket", "left_semi")

@@ -379,7 +379,7 @@ def session_rollup_follows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollup of synced files, of which one goes and one comes."""
     parts = csv_parts(spark, sf_dir, 4)
     target, folder = (scratch_path(spark, name) for name in ("synced", "rollup"))
-    for inputs in (parts[:2], parts[:3], parts[1:], parts[1:]):
+    for inputs in (parts[:2], parts[1:], parts[1:]):
         sync(spark, inputs, target, "*.csv")
         follow_sessions(spark, target, folder, buckets=16)
     return _rounded(rollup_sessions(spark, folder), total_spend=2)
