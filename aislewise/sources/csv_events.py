@@ -24,8 +24,10 @@ from aislewise.sources.files import (
     Paths,
     list_files,
     literal,
+    most_tasks,
     read_headers,
     source_id,
+    split_bytes,
     text_lines,
 )
 
@@ -84,7 +86,13 @@ def _lines(spark: SparkSession, paths: Paths, pattern: str | None, multiline: bo
     if source:
         named["source"] = source_id()
     lines = text_lines(spark, paths, pattern).withColumns(named)
-    return quoted_records(lines) if multiline else lines
+    if not multiline:
+        return lines
+    tasks = None
+    if split_bytes(spark) < BLOCK_BYTES:
+        length = list_files(spark, paths, pattern).agg(F.sum("length")).first()[0] or 0
+        tasks = most_tasks(spark, length)
+    return quoted_records(lines, tasks=tasks)
 
 
 def parse_csv(

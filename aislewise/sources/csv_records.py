@@ -24,7 +24,9 @@ MOST_RECORD_BYTES = 16 << 20
 WHOLE, HEAD, MIDDLE, TAIL = range(4)
 
 
-def quoted_records(lines: DataFrame, most_bytes: int = MOST_RECORD_BYTES) -> DataFrame:
+def quoted_records(
+    lines: DataFrame, most_bytes: int = MOST_RECORD_BYTES, tasks: int | None = None
+) -> DataFrame:
     """The records of `lines`, a text scan with `value` and further columns that are the same in a file.
 
     The result has the columns of `lines`; lines of one record are joined by a line feed, whatever
@@ -32,7 +34,8 @@ def quoted_records(lines: DataFrame, most_bytes: int = MOST_RECORD_BYTES) -> Dat
     and one in an unquoted field must be escaped by doubling. A record that is not closed at the end of its
     file is passed on as it is, and one longer than `most_bytes` ends the scan with an error.
 
-    Reads the lines twice; lines of files in which a record crosses a border a third time.
+    Reads the lines twice; lines of files in which a record crosses a border a third time. With `tasks`,
+    small splits share so many tasks in each of these passes; the splits themselves stay as they are.
     """
     columns = lines.columns
     placed = lines.select(
@@ -40,13 +43,17 @@ def quoted_records(lines: DataFrame, most_bytes: int = MOST_RECORD_BYTES) -> Dat
         F.col("_metadata.file_path").alias("_uri"),
         F.col("_metadata.file_block_start").alias("_start"),
     )
+    if tasks:
+        placed = placed.coalesce(tasks)
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit(QUOTE), F.lit("")))
     odd = placed.groupBy("_uri", "_start").agg((F.sum(quotes) % 2).alias("odd"))
     before = Window.partitionBy("_uri").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     parities = odd.withColumn("inside", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
     # One row per split at most, and those only where a record crosses a border or stays open.
     parities = stage(parities.where("odd + inside > 0"), "parities")
-    begun = {(row._uri, row._start) for row in parities.where("inside = 1").select("_uri", "_start").collect()}
+    begun: dict[str, set[int]] = {}
+    for row in parities.where("inside = 1").select("_uri", "_start").collect():
+        begun.setdefault(row._uri, set()).add(row._start)
     crossed = [row._uri for row in parities.where("(odd + inside) % 2 = 1").select("_uri").distinct().collect()]
 
     schema = ", ".join(
@@ -75,7 +82,7 @@ def _stitched(ends: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _joiner(begun: set[tuple[str, int]], most_bytes: int, whole: bool):
+def _joiner(begun: dict[str, set[int]], most_bytes: int, whole: bool):
     """Joins the lines of each split; gives whole records, or else the ends that cross a border.
 
     Rows of a split come one after another and in the order of the file.
@@ -106,7 +113,7 @@ def _joiner(begun: set[tuple[str, int]], most_bytes: int, whole: bool):
                     if inside:
                         yield from close(MIDDLE if headed else TAIL)
                     place, like = here, batch.slice(low, 1)
-                    inside = headed = here in begun
+                    inside = headed = here[1] in begun.get(here[0], ())
                 part = batch.slice(low, high - low)
                 odd = pc.count_substring(values.slice(low, high - low), QUOTE).to_numpy(zero_copy_only=False) % 2
                 if not inside and not odd.any():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
@@ -10,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aislewise.schema import BLOCK_BYTES
+
 Paths = str | Sequence[str]
 BYTE_ORDER_MARK = "\ufeff"
 
@@ -60,11 +63,40 @@ def text_lines(spark: SparkSession, paths: Paths, pattern: str | None = None) ->
     return reader.text(roots(paths))
 
 
-def _split_bytes(spark: SparkSession) -> int:
+def split_bytes(spark: SparkSession) -> int:
     text = spark.conf.get("spark.sql.files.maxPartitionBytes")
     return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
+def most_tasks(spark: SparkSession, length: int) -> int:
+    """Tasks of a scan of `length` bytes whose splits are small: several splits then share a task."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-length // BLOCK_BYTES))
+
+
+@contextlib.contextmanager
+def split_at(spark: SparkSession, size: int, tasks: int | None = None) -> Iterator[None]:
+    """Scans that run within begin their splits at multiples of `size`, packed for at most about `tasks` tasks.
+
+    Otherwise Spark also takes smaller splits so that each core gets one. The splits of one file are packed in
+    their order.
+    """
+    prefix = "spark.sql.files."
+    chosen = {"maxPartitionBytes": str(size), "minPartitionNum": "1"}
+    if tasks:
+        chosen["maxPartitionNum"] = str(tasks)
+    before = {key: spark.conf.get(prefix + key, None) for key in chosen}
+    try:
+        for key, value in chosen.items():
+            spark.conf.set(prefix + key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(prefix + key)
+            else:
+                spark.conf.set(prefix + key, value)
+
+
 def read_headers(
     spark: SparkSession, paths: Paths, pattern: str | None = None
 ) -> dict[str, str]:
@@ -72,17 +104,18 @@ def read_headers(
 
     A task leaves off as soon as nothing more can follow: a split of full size is alone in its
     partition, so behind its first line there is no header of another file. Large files are
-    thus opened but not read.
+    thus opened but not read. Splits have a block at least, however small those of the session are.
     """
-    full = _split_bytes(spark)
+    full = max(split_bytes(spark), BLOCK_BYTES)
     placed = text_lines(spark, paths, pattern).select(
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("start"),
         F.col("_metadata.file_block_length").alias("size"),
         "value",
-    )
+    ).where((F.col("start") == 0) | (F.col("size") >= full))
     found = placed.mapInArrow(_header_finder(full), "uri string, header string")
-    return {row.uri: row.header.removeprefix(BYTE_ORDER_MARK) for row in found.collect()}
+    with split_at(spark, full):
+        return {row.uri: row.header.removeprefix(BYTE_ORDER_MARK) for row in found.collect()}
 
 
 def _header_finder(full: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -91,6 +124,8 @@ def _header_finder(full: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
         for batch in batches:
             fresh = []
             alone = False
+            if seen.issuperset(batch.column(0).unique().to_pylist()) and batch.column(2)[0].as_py() < full:
+                continue
             for uri, start, size, value in zip(*[batch.column(k).to_pylist() for k in range(4)]):
                 if start == 0 and uri not in seen and value.strip():
                     seen.add(uri)

@@ -53,6 +53,8 @@ HISTOGRAM_UNIT = 20
 SAMPLE_SIZE = 200
 # Bytes of a sample block that cuts into one file at every scale.
 SAMPLE_BLOCK = 1 << 14
+# Splits of a large file with quoted breaks.
+LEAST_SPLITS = 1000
 
 
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
@@ -148,9 +150,13 @@ def csv_headers_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields with line breaks, read in splits of 16 KB, many of which begin inside a record."""
+    """Fields with line breaks, read in splits of 16 KB, many of which begin inside a record.
+
+    Opening a split costs the same whatever its size, so a large table has about LEAST_SPLITS larger ones.
+    """
     path = csv_with_breaks(spark, sf_dir)
-    with _splits_of(spark, 1 << 14):
+    length = list_files(spark, path, "*.csv").agg(F.sum("length")).first()[0] or 0
+    with _splits_of(spark, max(1 << 14, length // LEAST_SPLITS)):
         return stage(scan_csv(spark, path, pattern="*.csv", multiline=True), "records")
 
 

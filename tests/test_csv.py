@@ -142,6 +142,33 @@ def test_sample_is_the_head_of_the_first_file(spark, tmp_path, small_splits):
     assert sample_csv(spark, path).count() == len(body)
 
 
+def with_splits(spark, size, act):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        return act()
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_small_splits_of_quoted_breaks_share_tasks(spark, tmp_path):
+    text, brands = broken_lines(5, 400)
+    (tmp_path / "a.csv").write_text(text)
+
+    def scan():
+        records = quoted_records(text_lines(spark, str(tmp_path)), tasks=4)
+        got = scan_csv(spark, str(tmp_path), multiline=True)
+        rows = sorted(((r.product_id, r.brand) for r in got.collect()), key=str)
+        return records.count(), rows, got.rdd.getNumPartitions()
+
+    records, rows, tasks = with_splits(spark, 64, scan)
+    assert records == 401
+    assert rows == sorted(brands, key=str)
+    # As many scan tasks as twice the cores, and the shuffle of stitched ends; the file has over 300 splits.
+    assert tasks <= 3 * spark.sparkContext.defaultParallelism
+
+
 def test_synthetic_file(spark, tmp_path):
     path = str(tmp_path / "made")
     write_synthetic_csv(spark, path, size_mb=1)
