@@ -86,9 +86,10 @@ def csv_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sample_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four files of one block each, of which the first two in the order given are taken."""
-    whole = raw_events_with_id(spark, sf_dir)
+    whole = stage(raw_events_with_id(spark, sf_dir), "raw")
     parts = [whole.where(F.pmod("event_id", F.lit(4)) == k).select(*RAW.names) for k in range(4)]
-    files = [csv_copy(part.coalesce(1)) for part in parts]
+    # A shuffle, so that the task that writes a file does nothing else.
+    files = [csv_copy(part.repartition(1)) for part in parts]
     return sample_csv(spark, files, pattern="*.csv", block_bytes=1 << 50)
 
 

@@ -26,6 +26,7 @@ from aislewise.sources import (
 from aislewise.sources.csv_records import quoted_records
 from aislewise.sources.files import list_files, literal, read_headers, text_lines
 from aislewise.workspace import scratch_path
+from checks import queries, tables
 
 HEADER = ",".join(RAW.names)
 GOOD = "2019-10-01 00:00:05 UTC,view,1,2053013555631882655,electronics.audio,lg,1.50,5,abc"
@@ -169,6 +170,24 @@ def test_small_splits_of_quoted_breaks_share_tasks(spark, tmp_path):
     assert tasks <= 3 * spark.sparkContext.defaultParallelism
 
 
+def test_the_writer_of_a_sampled_file_joins_nothing(spark, tmp_path, monkeypatch):
+    events = [(i, dt.datetime(2019, 10, 1), i % 9, "view", 1.5, '{"k": %d}' % (i % 3)) for i in range(40)]
+    frame = spark.createDataFrame(events, tables.EVENTS)
+    frame.write.parquet(str(tmp_path / "events.parquet"))
+    parts = spark.createDataFrame([(k, f"n{k}", f"b{k}", "T") for k in range(3)], tables.PART)
+    parts.write.parquet(str(tmp_path / "part.parquet"))
+    plans = []
+
+    def copy(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return tables.csv_copy(df)
+
+    monkeypatch.setattr(queries, "csv_copy", copy)
+    found = queries.sample_head(spark, str(tmp_path))
+    assert found.count() == 20
+    assert len(plans) == 4 and not any("Join" in p for p in plans)
+
+
 def test_synthetic_file(spark, tmp_path):
     path = str(tmp_path / "made")
     write_synthetic_csv(spark, path, size_mb=1)
