@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import csv
 import functools
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +29,11 @@ from aislewise.sources.files import (
     most_tasks,
     read_headers,
     source_id,
+    split_at,
     split_bytes,
     text_lines,
 )
+from aislewise.workspace import stage
 
 # Seconds are usual; a fraction and a missing zone are accepted too.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS][ 'UTC']"
@@ -50,12 +54,13 @@ def discover_inputs(
 
 def read_header(spark: SparkSession, paths: Paths, pattern: str | None = None) -> str | None:
     """Header line of the input, or None when there are no lines."""
-    first = (
-        text_lines(spark, paths, pattern)
-        .filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
-        .select("value")
-        .first()
-    )
+    with split_at(spark, max(split_bytes(spark), BLOCK_BYTES)):
+        first = (
+            text_lines(spark, paths, pattern)
+            .filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+            .select("value")
+            .first()
+        )
     return first.value.removeprefix(BYTE_ORDER_MARK) if first else None
 
 
@@ -151,41 +156,64 @@ def parse_csv_sample(
 ) -> DataFrame:
     """parse_csv over the first blocks of the input, each file by its own header.
 
-    Files count in the order given, those of a folder by path. Rows belong to the split
-    in which their line starts, so the cut is exact when spark.sql.files.maxPartitionBytes
-    divides the block size and otherwise off by at most one split.
+    Files count in the order given, those of a folder by path. Rows belong to the block
+    in which their line starts. The lines of a file that is cut are stored at once.
     """
-    parts = [
-        _parse(
-            text_lines(spark, literal(file))
-            .filter(F.col("_metadata.file_block_start") < n * block_bytes)
-            .withColumn("source_file", F.col("_metadata.file_name")),
-            read_header(spark, literal(file)),
-        )
-        for file, n in _first_blocks(spark, paths, pattern, blocks, block_bytes)
-    ]
+    parts = []
+    for file, length, n in _first_blocks(spark, paths, pattern, blocks, block_bytes):
+        if n * block_bytes < length:
+            lines = _head_lines(spark, literal(file), length, n * block_bytes, block_bytes)
+        else:
+            lines = text_lines(spark, literal(file)).withColumn("source_file", F.col("_metadata.file_name"))
+        parts.append(_parse(lines, read_header(spark, literal(file))))
     if not parts:
         return parse_csv(spark, paths, pattern)
     return functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
+def _head_lines(spark: SparkSession, path: str, length: int, cut: int, block_bytes: int) -> DataFrame:
+    """The lines that start in the first `cut` bytes of one file, stored."""
+    placed = text_lines(spark, path).select(
+        "value",
+        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    head = placed.mapInArrow(_rows_before(cut), "value string, source_file string")
+    # Small blocks are read many to a task.
+    with split_at(spark, block_bytes, -(-length // BLOCK_BYTES)):
+        return stage(head, "head-lines")
+
+
+def _rows_before(cut: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of splits that start before `cut`. The splits of a task come in order, so it ends at the first other one."""
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before = pc.less(batch.column(2), cut)
+            yield batch.select([0, 1]).filter(before)
+            if not pc.all(before).as_py():
+                return
+
+    return take
+
+
 def _first_blocks(
     spark: SparkSession, paths: Paths, pattern: str | None, blocks: int, block_bytes: int
-) -> list[tuple[str, int]]:
-    """The files that hold the first blocks, and how many of them each holds.
+) -> list[tuple[str, int, int]]:
+    """The files that hold the first blocks, their lengths, and how many of the blocks each holds.
 
     A file with content has a block at least, so `blocks` files are enough to look at.
     """
-    found: list[tuple[str, int]] = []
+    found: list[tuple[str, int, int]] = []
     for root in [paths] if isinstance(paths, str) else paths:
         reader = spark.read.format("binaryFile")
         if pattern:
             reader = reader.option("pathGlobFilter", pattern)
         files = reader.load(root).select("path", "length").where("length > 0")
         for file in files.orderBy("path").limit(blocks).collect():
-            left = blocks - sum(n for _, n in found)
+            left = blocks - sum(n for *_, n in found)
             if left > 0:
-                found.append((file.path, min(left, -(-file.length // block_bytes))))
+                found.append((file.path, file.length, min(left, -(-file.length // block_bytes))))
     return found
 
 

@@ -6,6 +6,7 @@ import contextlib
 import functools
 from collections.abc import Callable, Iterator
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,7 +97,11 @@ def sample_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_inside_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two blocks of one larger file, in the order of its lines."""
     path = scratch_path(spark, "damaged")
-    write_lines(damaged_lines(spark, sf_dir, ordered=True).coalesce(1), path)
+    # Sorted by many tasks and kept, so that the one that writes the file only reads on.
+    lines = damaged_lines(spark, sf_dir, ordered=True).persist(StorageLevel.DISK_ONLY)
+    lines.count()
+    write_lines(lines.coalesce(1), path)
+    lines.unpersist()
     with _splits_of(spark, SAMPLE_BLOCK // 4):
         head = stage(sample_csv(spark, path, block_bytes=SAMPLE_BLOCK), "head")
     return head.groupBy("event_type").agg(

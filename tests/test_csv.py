@@ -153,6 +153,24 @@ def with_splits(spark, size, act):
         spark.conf.set(key, before)
 
 
+def test_the_cut_of_a_sample_is_exact_and_takes_few_tasks(spark, tmp_path):
+    body = [GOOD.replace(",1,", f",{i},", 1) for i in range(1000)]
+    path = write(tmp_path / "a.csv", HEADER, *body)
+    starts = [len(HEADER) + 1]
+    for line in body:
+        starts.append(starts[-1] + len(line) + 1)
+    expected = [i for i in range(1000) if starts[i] <= 1024]
+
+    def sample():
+        got = sample_csv(spark, path, blocks=2, block_bytes=512)
+        return sorted(r.product_id for r in got.collect()), got.rdd.getNumPartitions()
+
+    # The split does not divide the block, and the file has 260 of them.
+    found, tasks = with_splits(spark, 300, sample)
+    assert found == expected and 0 < len(expected) < 20
+    assert tasks < 50
+
+
 def test_small_splits_of_quoted_breaks_share_tasks(spark, tmp_path):
     text, brands = broken_lines(5, 400)
     (tmp_path / "a.csv").write_text(text)
