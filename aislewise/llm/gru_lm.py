@@ -19,6 +19,8 @@ from aislewise.llm.common import bounded_batches, hashed_sample, stage
 U64 = np.uint64
 #: The token that ends every text; also what the model reads before the first word.
 END = U64(0xE0D0_F7E1_7000_0001)
+#: Rows that are worked out at once, as many as a core's cache holds.
+ROWS = 1000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -85,42 +87,97 @@ def new_gru(size: int, s: GruSettings) -> Gru:
     )
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _step(gru: Gru, token: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The next state, and what its gradient needs, turned: both gates, the candidate, its state part."""
+    after, *rest = _advance(gru.gates.take(token, 0), h @ gru.back, h.T)
+    return after.T, *rest
 
 
-def _step(gru: Gru, token: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The next state, and what its gradient needs: both gates, the candidate, its state part."""
-    n = h.shape[1]
-    x, b = gru.gates[token], h @ gru.back
-    both = _sigmoid(x[:, : 2 * n] + b[:, : 2 * n])
-    z, r = both[:, :n], both[:, n:]
-    c = np.tanh(x[:, 2 * n :] + r * b[:, 2 * n :])
-    return c + z * (h - c), z, r, c, b[:, 2 * n :]
+def _advance(x: np.ndarray, b: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A step from the token's and the state's part of the gates.
 
+    States and results are turned, one row for each of the few columns, since numpy is slow along short rows.
+    """
+    n = len(h)
+    both = np.ascontiguousarray((x + b)[:, : 2 * n].T)
+    np.negative(both, out=both)
+    np.exp(both, out=both)
+    both += 1
+    np.divide(1, both, out=both)
+    z, r = both[:n], both[n:]
+    part = np.ascontiguousarray(b[:, 2 * n :].T)
+    c = r * part
+    c += x[:, 2 * n :].T
+    np.tanh(c, out=c)
+    after = h - c
+    after *= z
+    after += c
+    return after, z, r, c, part
+
+
+def _next_states(gru: Gru, token: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The states after a step of many texts, worked out some at a time, which stay in the cache."""
+    b = h @ gru.back
+    out = np.empty_like(h)
+    for at in range(0, len(h), ROWS):
+        rows = slice(at, at + ROWS)
+        out[rows] = _advance(gru.gates.take(token[rows], 0), b[rows], h[rows].T)[0].T
+    return out
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    """Sums of columns, rounded as numpy rounds the sum of a row: in eight strands."""
+    whole = len(x) // 8 * 8
+    if not whole:
+        return x.sum(0)
+    sums = x[:8].copy()
+    for at in range(8, whole, 8):
+        sums += x[at : at + 8]
+    while len(sums) > 1:
+        sums = sums[::2] + sums[1::2]
+    for row in x[whole:]:
+        sums += row
+    return sums[0]
+
+
+def _softmax(x: np.ndarray) -> None:
+    """Turns rows of logits into probabilities, in place."""
+    for at in range(0, len(x), ROWS):
+        part = np.ascontiguousarray(x[at : at + ROWS].T)
+        part -= part.max(0)
+        np.exp(part, out=part)
+        part /= _column_sums(part)
+        x[at : at + ROWS] = part.T
+
+
+def _log_softmax_at(x: np.ndarray, bias: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log softmax of each row of logits and bias at its column."""
+    out = np.empty(len(x), x.dtype)
+    for at in range(0, len(x), ROWS):
+        part = np.add(x[at : at + ROWS].T, bias[:, None], order="C")
+        part -= part.max(0)
+        chosen = part[column[at : at + ROWS], np.arange(part.shape[1])]
+        np.exp(part, out=part)
+        out[at : at + ROWS] = chosen - np.log(_column_sums(part))
+    return out
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(-1, keepdims=True))
-    return e / e.sum(-1, keepdims=True)
+
+def _stable_order(keys: np.ndarray, most: int) -> np.ndarray:
+    """The stable order of keys up to `most`; numpy sorts small types by radix."""
+    return np.argsort(keys.astype(np.min_scalar_type(most)), kind="stable")
 
 
 def log_likelihoods(gru: Gru, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target after its state: of its class, then within it."""
     per = gru.per_class
     classes = targets // per
-    of_class = _log_softmax(states @ gru.to_class + gru.class_bias)
-    out = of_class[np.arange(len(targets)), classes]
-    order = np.argsort(classes, kind="stable")
+    out = _log_softmax_at(states @ gru.to_class, gru.class_bias, classes)
+    order = _stable_order(classes, len(gru.word_bias))
     cuts = np.searchsorted(classes[order], np.arange(len(gru.word_bias) + 1))
     for c in np.flatnonzero(np.diff(cuts)):
         rows = order[cuts[c] : cuts[c + 1]]
-        within = _log_softmax(states[rows] @ gru.to_word[c] + gru.word_bias[c])
-        out[rows] += within[np.arange(len(rows)), targets[rows] - c * per]
+        within = states[rows] @ gru.to_word[c]
+        out[rows] += _log_softmax_at(within, gru.word_bias[c], targets[rows] - c * per)
     return out
 
 
@@ -142,7 +199,7 @@ def score_texts(gru: Gru, texts: list[np.ndarray], window: int = 64) -> np.ndarr
         for t in range(t0, min(t0 + window, int(lengths[0]))):
             live = int(np.searchsorted(-lengths, -t))
             read = flat[begins[:live] + t - 1] if t else np.zeros(live, flat.dtype)
-            h = _step(gru, read, h[:live])[0]
+            h = _next_states(gru, read, h[:live])
             states.append(h)
             targets.append(flat[begins[:live] + t])
             owners.append(np.arange(live))
@@ -184,46 +241,76 @@ def _learn(
             [np.zeros((streams, 1), flat.dtype), target[:, :-1]], 1
         )
         h, grads = _gradients(gru, read, target, h)
-        total = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        powers = {k: g * g for k, g in grads.items()}
+        total = math.sqrt(sum(float(p.sum()) for p in powers.values()))
         scale = min(1.0, 5.0 / (total + 1e-9))
         for k, g in grads.items():
-            g *= scale
-            squares[k] += g * g
-            vars(gru)[k] -= rate * g / np.sqrt(squares[k])
+            power = powers[k]
+            if scale < 1:
+                g *= scale
+                np.multiply(g, g, out=power)
+            squares[k] += power
+            np.sqrt(squares[k], out=power)
+            g *= rate
+            g /= power
+            vars(gru)[k] -= g
 
 
 def _gradients(
     gru: Gru, read: np.ndarray, target: np.ndarray, h: np.ndarray
 ) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """The state after a window and the mean gradients in it. An end read clears the state first."""
-    n, steps = h.shape[1], read.shape[1]
+    n, (streams, steps) = h.shape[1], read.shape
+    h = h.T
     kept = []
+    states = np.empty((streams, steps, n), np.result_type(h, gru.gates))
     for t in range(steps):
-        fresh = (read[:, t] != 0).astype(np.float32)[:, None]
+        fresh = (read[:, t] != 0).astype(np.float32)
         before = h * fresh
-        h, z, r, c, b = _step(gru, read[:, t], before)
-        kept.append((before, fresh, z, r, c, b, h))
-    states = np.stack([k[6] for k in kept], 1).reshape(-1, n)
+        state, z, r, c, b = _step(gru, read[:, t], before.T)
+        kept.append((before, fresh, z, r, c, b))
+        states[:, t] = state
+        h = state.T
     grads = {k: np.zeros_like(v) for k, v in vars(gru).items()}
-    down = _output_gradients(gru, states, target.reshape(-1), grads).reshape(h.shape[0], steps, n)
+    down = _output_gradients(gru, states.reshape(-1, n), target.reshape(-1), grads).reshape(states.shape)
     later = np.zeros_like(h)
-    gates = np.empty((steps, h.shape[0], 3 * n), np.float32)
+    gates = np.empty((steps, streams, 3 * n), states.dtype)
     for t in reversed(range(steps)):
-        before, fresh, z, r, c, b, _ = kept[t]
-        d = down[:, t] + later
+        before, fresh, z, r, c, b = kept[t]
+        d = later + down[:, t].T
         dc = d * (1 - z) * (1 - c * c)
         dz = d * (before - c) * z * (1 - z)
         dr = dc * b * r * (1 - r)
-        at_gates = np.concatenate([dz, dr, dc], 1)
-        at_back = np.concatenate([dz, dr, dc * r], 1)
-        gates[t] = at_gates
-        grads["back"] += before.T @ at_back
-        later = (d * z + at_back @ gru.back.T) * fresh
-    tokens_read = read.T.reshape(-1)
-    order = np.argsort(tokens_read, kind="stable")
-    found, first = np.unique(tokens_read[order], return_index=True)
-    grads["gates"][found] += np.add.reduceat(gates.reshape(-1, 3 * n)[order], first)
-    return h, grads
+        at_back = np.concatenate([dz, dr, dc * r])
+        gates[t, :, : 2 * n] = at_back[: 2 * n].T
+        gates[t, :, 2 * n :] = dc.T
+        grads["back"] += before @ at_back.T
+        later = (d * z + (at_back.T @ gru.back.T).T) * fresh
+    _add_by_token(grads["gates"], read.T.reshape(-1), gates.reshape(-1, 3 * n))
+    return h.T, grads
+
+
+def _add_by_token(sums: np.ndarray, token: np.ndarray, rows: np.ndarray) -> None:
+    """Adds each row to its token's, rounded as by `np.add.reduceat`, which is slow for the many rare tokens."""
+    order = _stable_order(token, len(sums))
+    ordered = token[order]
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    found, sizes = ordered[first], np.diff(first, append=len(order))
+    often = sizes > 8
+    if often.any():
+        many = sizes[often]
+        some = rows[order[np.repeat(often, sizes)]]
+        sums[found[often]] += np.add.reduceat(some, np.cumsum(many) - many)
+    by_size = np.argsort(-sizes, kind="stable")[int(often.sum()) :]
+    found, first, sizes = found[by_size], first[by_size], sizes[by_size]
+    more = int(np.searchsorted(-sizes, -1))
+    rest = rows[order[first[:more] + 1]]
+    for k in range(2, 8):
+        left = int(np.searchsorted(-sizes, -k))
+        rest[:left] += rows[order[first[:left] + k]]
+    part = rows[order[first]]
+    part[:more] += rest
+    sums[found] += part
 
 
 def _output_gradients(
@@ -232,20 +319,28 @@ def _output_gradients(
     """Fills the gradients of both softmax layers; returns that of the states."""
     per, size = gru.per_class, np.float32(len(targets))
     classes = targets // per
-    order = np.argsort(classes, kind="stable")
+    order = _stable_order(classes, len(gru.word_bias))
     states, classes, within = states[order], classes[order], (targets % per)[order]
-    wrong = _softmax(states @ gru.to_class + gru.class_bias)
+    wrong = states @ gru.to_class + gru.class_bias
+    _softmax(wrong)
     wrong[np.arange(len(targets)), classes] -= 1
     wrong /= size
     grads["to_class"] += states.T @ wrong
     grads["class_bias"] += wrong.sum(0)
     down = wrong @ gru.to_class.T
     cuts = np.searchsorted(classes, np.arange(len(gru.word_bias) + 1))
-    for c in np.flatnonzero(np.diff(cuts)):
+    met = np.flatnonzero(np.diff(cuts))
+    wrong = np.empty((len(targets), per), wrong.dtype)
+    for c in met:
+        rows = slice(cuts[c], cuts[c + 1])
+        np.matmul(states[rows], gru.to_word[c], out=wrong[rows])
+        wrong[rows] += gru.word_bias[c]
+    _softmax(wrong)
+    wrong[np.arange(len(targets)), within] -= 1
+    wrong /= size
+    for c in met:
         rows = slice(cuts[c], cuts[c + 1])
-        part = _softmax(states[rows] @ gru.to_word[c] + gru.word_bias[c])
-        part[np.arange(len(part)), within[rows]] -= 1
-        part /= size
+        part = wrong[rows]
         grads["to_word"][c] += states[rows].T @ part
         grads["word_bias"][c] += part.sum(0)
         down[rows] += part @ gru.to_word[c].T
