@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -173,11 +174,13 @@ def log_likelihoods(gru: Gru, states: np.ndarray, targets: np.ndarray) -> np.nda
     classes = targets // per
     out = _log_softmax_at(states @ gru.to_class, gru.class_bias, classes)
     order = _stable_order(classes, len(gru.word_bias))
-    cuts = np.searchsorted(classes[order], np.arange(len(gru.word_bias) + 1))
+    states, within = states.take(order, 0), (targets % per).take(order)
+    cuts = np.searchsorted(classes.take(order), np.arange(len(gru.word_bias) + 1))
+    logs = np.empty_like(out)
     for c in np.flatnonzero(np.diff(cuts)):
-        rows = order[cuts[c] : cuts[c + 1]]
-        within = states[rows] @ gru.to_word[c]
-        out[rows] += _log_softmax_at(within, gru.word_bias[c], targets[rows] - c * per)
+        rows = slice(cuts[c], cuts[c + 1])
+        logs[rows] = _log_softmax_at(states[rows] @ gru.to_word[c], gru.word_bias[c], within[rows])
+    out[order] += logs
     return out
 
 
@@ -299,16 +302,16 @@ def _add_by_token(sums: np.ndarray, token: np.ndarray, rows: np.ndarray) -> None
     often = sizes > 8
     if often.any():
         many = sizes[often]
-        some = rows[order[np.repeat(often, sizes)]]
+        some = rows.take(order[np.repeat(often, sizes)], 0)
         sums[found[often]] += np.add.reduceat(some, np.cumsum(many) - many)
     by_size = np.argsort(-sizes, kind="stable")[int(often.sum()) :]
     found, first, sizes = found[by_size], first[by_size], sizes[by_size]
     more = int(np.searchsorted(-sizes, -1))
-    rest = rows[order[first[:more] + 1]]
+    rest = rows.take(order[first[:more] + 1], 0)
     for k in range(2, 8):
         left = int(np.searchsorted(-sizes, -k))
-        rest[:left] += rows[order[first[:left] + k]]
-    part = rows[order[first]]
+        rest[:left] += rows.take(order[first[:left] + k], 0)
+    part = rows.take(order[first], 0)
     part[:more] += rest
     sums[found] += part
 
@@ -320,7 +323,7 @@ def _output_gradients(
     per, size = gru.per_class, np.float32(len(targets))
     classes = targets // per
     order = _stable_order(classes, len(gru.word_bias))
-    states, classes, within = states[order], classes[order], (targets % per)[order]
+    states, classes, within = states.take(order, 0), classes.take(order), (targets % per).take(order)
     wrong = states @ gru.to_class + gru.class_bias
     _softmax(wrong)
     wrong[np.arange(len(targets)), classes] -= 1
@@ -334,7 +337,7 @@ def _output_gradients(
     for c in met:
         rows = slice(cuts[c], cuts[c + 1])
         np.matmul(states[rows], gru.to_word[c], out=wrong[rows])
-        wrong[rows] += gru.word_bias[c]
+    wrong += gru.word_bias.take(classes, 0)
     _softmax(wrong)
     wrong[np.arange(len(targets)), within] -= 1
     wrong /= size
@@ -344,9 +347,9 @@ def _output_gradients(
         grads["to_word"][c] += states[rows].T @ part
         grads["word_bias"][c] += part.sum(0)
         down[rows] += part @ gru.to_word[c].T
-    out = np.empty_like(down)
-    out[order] = down
-    return out
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    return down.take(place, 0)
 
 
 class _Words:
@@ -356,9 +359,15 @@ class _Words:
         data, begins = tokens.packed(column)
         starts, ends, self.first = tokens.words(data, begins)
         self.hashes = tokens.word_hashes(data, starts, ends)
-        one = _LOWER[data[starts]].astype(np.int64)
-        two = _LOWER[data[np.minimum(starts + 1, ends - 1)]].astype(np.int64)
-        self.clusters = (one * 257 + two) * 7919 % 10007 % clusters
+        one, two = data.take(starts).astype(np.int64), data.take(np.minimum(starts + 1, ends - 1))
+        self.clusters = _clusters_by_bytes(clusters).take(one << 8 | two)
+
+
+@functools.lru_cache(maxsize=4)
+def _clusters_by_bytes(clusters: int) -> np.ndarray:
+    """The cluster of each first two bytes."""
+    one, two = np.divmod(np.arange(1 << 16), 256)
+    return (_LOWER[one].astype(np.int64) * 257 + _LOWER[two]) * 7919 % 10007 % clusters
 
 
 @dataclass(frozen=True)

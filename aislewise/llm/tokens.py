@@ -57,7 +57,9 @@ def words(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the number of the first word of each text (n + 1)."""
     inside = ~(_IS_MARK if marks else _IS_SPACE)[data]
-    edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+    padded = np.zeros(len(inside) + 2, bool)
+    padded[1:-1] = inside
+    edges = np.flatnonzero(padded[1:] != padded[:-1])
     starts, ends = edges[::2], edges[1::2]
     return starts, ends, np.searchsorted(starts, begins)
 

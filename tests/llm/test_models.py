@@ -273,6 +273,15 @@ def test_gru_turned_arrays_round_as_rows_do():
     assert np.array_equal(_next_states(gru, token, h), _step(gru, token, h)[0])
 
 
+def test_words_by_brute_force():
+    texts = [None, "", "A bc", " x\t", "\n", "caf\u00e9 b\u00fc.", "z"]
+    data, begins = tokens.packed(pa.array(texts, pa.string()))
+    starts, ends, first = tokens.words(data, begins)
+    found = [bytes(data[a:b]).decode() for a, b in zip(starts, ends)]
+    assert found == [w for t in texts for w in (t or "").split()]
+    assert np.diff(first).tolist() == [len((t or "").split()) for t in texts]
+
+
 def test_gru_outputs_cost_less_than_row_by_row():
     s = GruSettings()
     rnd = np.random.default_rng(5)
